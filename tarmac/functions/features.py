@@ -88,6 +88,6 @@ def ontime_decision(probability="probability") -> Column:
     )
     return (
         F.when(p.isNull(), F.lit(NO_PREDICTION))
-        .when(landed, F.coalesce(ontime_label(), F.lit(0.0)))
+        .when(landed, ontime_label())
         .otherwise(p)
     )
