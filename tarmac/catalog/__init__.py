@@ -1,0 +1,6 @@
+"""Named queries over the test tables."""
+
+from tarmac.catalog import exploration  # noqa: F401
+from tarmac.catalog.registry import ORACLE, QUERIES
+
+__all__ = ["ORACLE", "QUERIES"]

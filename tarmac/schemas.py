@@ -68,8 +68,14 @@ TRAINING_COLUMNS = [
 AIRPORT_FILE_POSITIONS = {"airport_seq_id": 0, "latitude": 21, "longitude": 26}
 
 
+TYPES = {
+    "date": T.DateType(), "string": T.StringType(), "double": T.DoubleType(), "bigint": T.LongType(),
+    "boolean": T.BooleanType(), "timestamp": T.TimestampType(), "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def struct(columns: list[tuple[str, str]]) -> T.StructType:
-    return T.StructType.fromDDL(", ".join(f"{name} {kind}" for name, kind in columns))
+    return T.StructType([T.StructField(name, TYPES[kind]) for name, kind in columns])
 
 
 def names(columns: list[tuple[str, str]]) -> list[str]:
@@ -122,7 +128,7 @@ def from_json_fields(fields: list[dict]) -> T.StructType:
     return T.StructType([
         T.StructField(
             f["name"].lower(),
-            T.StructType.fromDDL(f"x {WAREHOUSE_TYPES[f['type']]}")["x"].dataType,
+            TYPES[WAREHOUSE_TYPES[f["type"]]],
             f.get("mode", "NULLABLE") != "REQUIRED",
         )
         for f in fields
