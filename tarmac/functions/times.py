@@ -16,22 +16,21 @@ def midnight_utc(day, zone) -> Column:
     return F.to_utc_timestamp(_col(day).cast("timestamp"), _col(zone))
 
 
-def utc_time(day, hhmm, zone) -> Column:
-    """Local `HHMM` text of a day as a UTC timestamp; null for missing text.
+def utc_time(midnight, hhmm) -> Column:
+    """Local `HHMM` text as a UTC timestamp, given the UTC instant of local midnight.
 
-    The clock runs on from local midnight, so `2400` is the next day and a
-    daylight-saving change during the day does not shift the result.
+    The clock runs on from midnight, so `2400` is the next day and a
+    daylight-saving change during the day does not shift the result.  Missing
+    text gives null.
     """
-    text = F.nullif(_col(hhmm), F.lit(""))
-    hours = F.substring(text, 1, 2).cast("int")
-    minutes = F.substring(text, 3, 2).cast("int")
-    return midnight_utc(day, zone) + F.make_dt_interval(F.lit(0), hours, minutes, F.lit(0))
+    clock = F.nullif(_col(hhmm), F.lit("")).cast("int")
+    elapsed = F.floor(clock / 100) * 3600 + (clock % 100) * 60
+    return F.timestamp_seconds(F.unix_timestamp(_col(midnight)) + elapsed)
 
 
-def utc_offset(day, hhmm, zone) -> Column:
+def utc_offset(day, midnight, hhmm) -> Column:
     """Seconds local time is ahead of UTC at that day's midnight; 0 for missing text."""
-    local = F.unix_timestamp(_col(day).cast("timestamp"))
-    offset = local - F.unix_timestamp(midnight_utc(day, zone))
+    offset = F.unix_timestamp(_col(day).cast("timestamp")) - F.unix_timestamp(_col(midnight))
     present = F.nullif(_col(hhmm), F.lit("")).isNotNull()
     return F.when(present, offset).otherwise(F.lit(0)).cast("double")
 
@@ -45,7 +44,7 @@ def not_before(moment, start) -> Column:
 def departure_hour(dep_time="dep_time", offset="dep_airport_tzoffset") -> Column:
     """Two-digit local hour of departure; the offset counts in whole hours."""
     whole_hours = (_col(offset) / 3600).cast("int")
-    local = _col(dep_time) + F.make_dt_interval(F.lit(0), whole_hours)
+    local = F.timestamp_seconds(F.unix_timestamp(_col(dep_time)) + whole_hours * 3600)
     return F.lpad(F.hour(local).cast("string"), 2, "0")
 
 

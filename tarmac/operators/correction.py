@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac import schemas
-from tarmac.functions.times import not_before, utc_offset, utc_time
+from tarmac.functions.times import midnight_utc, not_before, utc_offset, utc_time
 
 # What an airport outside the lookup is taken to be.
 FALLBACK_LAT, FALLBACK_LON, FALLBACK_ZONE = 37.52, -92.17, "America/Chicago"
@@ -58,11 +58,15 @@ def correct_times(flights: DataFrame, airports: DataFrame) -> DataFrame:
     """
     at_origin = ["crs_dep_time", "dep_time", "wheels_off"]
     at_dest = ["wheels_on", "crs_arr_time", "arr_time"]
-    zoned = with_airports(flights, airports)
-    utc = {c: utc_time("fl_date", c, "dep_tz") for c in at_origin}
-    utc |= {c: utc_time("fl_date", c, "arr_tz") for c in at_dest}
-    utc["dep_airport_tzoffset"] = utc_offset("fl_date", "wheels_off", "dep_tz")
-    utc["arr_airport_tzoffset"] = utc_offset("fl_date", "arr_time", "arr_tz")
+    # The zone rules are consulted once per side; the clock times only add to that.
+    zoned = with_airports(flights, airports).withColumns({
+        "dep_midnight": midnight_utc("fl_date", "dep_tz"),
+        "arr_midnight": midnight_utc("fl_date", "arr_tz"),
+    })
+    utc = {c: utc_time("dep_midnight", c) for c in at_origin}
+    utc |= {c: utc_time("arr_midnight", c) for c in at_dest}
+    utc["dep_airport_tzoffset"] = utc_offset("fl_date", "dep_midnight", "wheels_off")
+    utc["arr_airport_tzoffset"] = utc_offset("fl_date", "arr_midnight", "arr_time")
     late = {c: not_before(c, "dep_time") for c in ["wheels_off", *at_dest]}
     return (
         zoned.withColumns(utc)

@@ -14,6 +14,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # HotSpot never compiles methods above 8000 bytes of byte code; a wide
+    # projection fused into one such method would run interpreted.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

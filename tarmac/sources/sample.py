@@ -39,11 +39,9 @@ def _pick(values: list[str], index: Column) -> Column:
 
 def _hhmm(minute: Column) -> Column:
     """Minute of the day as HHMM; midnight is written 2400."""
-    m = F.pmod(minute, F.lit(1440)).cast("int")
-    clock = F.concat(
-        F.lpad(F.floor(m / 60).cast("string"), 2, "0"), F.lpad((m % 60).cast("string"), 2, "0")
-    )
-    return F.when(m == 0, F.lit("2400")).otherwise(clock)
+    m = F.pmod(minute - 1, F.lit(1440)).cast("int") + 1
+    hours = F.floor(m / 60)
+    return F.lpad((m + 40 * hours).cast("string"), 4, "0")
 
 
 def flights(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
@@ -64,7 +62,7 @@ def flights(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     swing = 3 * line - 12
     left = sched + late
     landing = left + 30 + 6 * F.col("p_size")
-    brand = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int")
+    brand = F.col("brand")
     s, c = F.col("s_nationkey"), F.col("c_nationkey")
     code = {
         "fl_date": F.date_add(F.lit(FIRST_DAY).cast("date"), (F.col("l_orderkey") % N_DAYS).cast("int")),
@@ -101,7 +99,8 @@ def flights(spark: SparkSession, sf_dir: str, *wanted: str) -> DataFrame:
     part = {"op_unique_carrier", "op_carrier", "op_carrier_airline_id", "distance",
             "wheels_on", "crs_arr_time", "arr_time"}
     if need & part:
-        parts = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_size")
+        brand_no = F.regexp_extract("p_brand", r"(\d+)", 1).cast("int").alias("brand")
+        parts = table(spark, sf_dir, "part").select("p_partkey", brand_no, "p_size")
         out = out.join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
     if any(w.startswith("origin") for w in need):
         suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
