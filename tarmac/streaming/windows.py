@@ -49,20 +49,24 @@ def enrich(
     can split.  Only events of closed windows come out, each exactly once.
     """
     path = scratch(spark, "enriched")
+    store_means = batch_folder(f"{path}/means")
     write = batch_folder(f"{path}/out")
     columns = stored_events.columns
 
     def join_closed(closed: DataFrame, number: int) -> None:
-        closed = closed.select(
+        # Stored first: both uses below then read a table instead of running the
+        # stateful plan twice.
+        store_means(closed, number)
+        means = spark.read.schema(closed.schema).parquet(f"{path}/means/batch={number}").select(
             key, (epoch("window_end") - step_seconds).alias("slot"), F.coalesce("mean", F.lit(0.0)).alias(name)
         )
-        span = closed.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
+        span = means.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
         if span["low"] is None:
             return
         low, high = F.timestamp_seconds(F.lit(span["low"])), F.timestamp_seconds(F.lit(span["high"] + step_seconds))
         due = stored_events.where((F.col(time) >= low) & (F.col(time) < high))
         due = due.withColumn("slot", slot(epoch(time), step_seconds))
-        write(due.join(closed, [key, "slot"]).select(*columns, name), number)
+        write(due.join(means, [key, "slot"]).select(*columns, name), number)
 
     each_batch(sliding_averages(stream, key, value, time), join_closed, f"{path}/state")
     schema = stored_events.withColumn(name, F.lit(0.0)).schema
