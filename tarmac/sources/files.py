@@ -188,8 +188,8 @@ def verify_files(lines: DataFrame, header: str = schemas.RAW_HEADER) -> None:
 
 
 def next_month(paths: DataFrame) -> DataFrame:
-    """The month after the latest `yyyymm.csv` among the file paths (one row)."""
-    stamp = F.regexp_extract("path", r"(\d{6})[^/]*csv[^/]*$", 1)
+    """The month after the latest `yyyymm.csv` file or folder among the paths (one row)."""
+    stamp = F.regexp_extract("path", r"(?:^|/)(\d{6})[^/]*\.csv(?:/|$)", 1)
     return (
         paths.where(stamp != "")
         .agg(F.max(stamp).alias("latest"))
