@@ -13,9 +13,9 @@ from tarmac import schemas
 from tarmac.catalog.checksql import (
     AIRPORTS, DEP_HOUR, SLOT, text, with_averages, with_corrected, with_events, with_raw,
 )
-from tarmac.catalog.registry import query, rounded
+from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
 from tarmac.functions import predicates as P
-from tarmac.functions.text import clean_line, csv_line, event_payload, fixed, split_fields
+from tarmac.functions.text import clean_line, csv_line, event_payload, field_count, fixed
 from tarmac.functions.times import departure_hour, time_text
 from tarmac.operators import correction, delays, lookups, training, windows
 from tarmac.sources import files, sample, tables
@@ -139,12 +139,12 @@ def payload_lines(spark, sf) -> DataFrame:
 
 @query("arity_check", with_events("""
 SELECT event, count(*) AS n, sum(dep_delay) AS total_dep_delay, sum(arr_delay) AS total_arr_delay,
-  max(notify_time)::VARCHAR AS latest
+  max(epoch(notify_time)::BIGINT) AS latest
 FROM events_log WHERE op_unique_carrier <> 'UA' GROUP BY event"""))
 def arity_check(spark, sf):
     return files.parse_events(payload_lines(spark, sf)).groupBy("event").agg(
         F.count(F.lit(1)).alias("n"), F.sum("dep_delay").alias("total_dep_delay"),
-        F.sum("arr_delay").alias("total_arr_delay"), F.max(time_text("notify_time")).alias("latest"),
+        F.sum("arr_delay").alias("total_arr_delay"), F.max(F.unix_timestamp("notify_time")).alias("latest"),
     )
 
 
@@ -233,7 +233,7 @@ def flight_events(spark, sf):
 
 @query("event_payload", with_events(f"""
 SELECT fl_date::VARCHAR AS fl_date, event, count(*) AS n, sum(length(event_data))::BIGINT AS n_chars,
-  min(event_data) AS first_line, max(event_data) AS last_line
+  {checksum_sql('event_data')} AS hash
 FROM (SELECT *, {PAYLOAD_SQL} AS event_data FROM events_log) GROUP BY 1, 2"""))
 def event_payload_summary(spark, sf):
     from tarmac.operators.events import with_payload
@@ -241,7 +241,7 @@ def event_payload_summary(spark, sf):
     rows = with_payload(sample.event_log(spark, sf))
     return rows.groupBy(F.col("fl_date").cast("string").alias("fl_date"), "event").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("event_data")).alias("n_chars"),
-        F.min("event_data").alias("first_line"), F.max("event_data").alias("last_line"),
+        checksum("event_data").alias("hash"),
     )
 
 
@@ -535,4 +535,4 @@ def flattened_fields(spark, sf):
     """Split raw lines and count their fields once quotes and trailing commas are gone."""
     lines = files.clean_lines(raw_lines(spark, sf).select("value"))
     return lines.agg(
-        F.count(F.lit(1)).alias("n"), F.max(F.size(split_fields("value"))).cast("bigint").alias("n_fields"))
+        F.count(F.lit(1)).alias("n"), F.max(field_count("value")).cast("bigint").alias("n_fields"))

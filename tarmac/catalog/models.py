@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tarmac.catalog.checksql import text, with_averages, with_events, with_raw
 from tarmac.catalog.flightlog import PAYLOAD_SQL
-from tarmac.catalog.registry import query, rounded
+from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
 from tarmac.functions import predicates as P
 from tarmac.models import evaluate, features, logistic, network, scoring
 from tarmac.operators import sampling, training
@@ -134,15 +134,15 @@ def ontime_decision(spark, sf):
 
 
 @query("prediction_csv", with_decisions(f"""
-SELECT event, count(*) AS n, sum(length(line))::BIGINT AS n_chars, min(line) AS first_line, max(line) AS last_line
+SELECT event, count(*) AS n, sum(length(line))::BIGINT AS n_chars, {checksum_sql('line')} AS hash
 FROM (SELECT event, {PAYLOAD_SQL} || ',' || CASE WHEN ontime >= 0 THEN round(ontime, 2)::DECIMAL(20, 2)::VARCHAR
     ELSE '' END AS line FROM decided) GROUP BY event"""))
 def prediction_csv(spark, sf):
     lines = tables.prediction_lines(scoring.decide(_formula_scored(spark, sf)))
-    event = F.split("value", ",")[33].alias("event")
-    return lines.groupBy(event).agg(
+    event = F.when(F.col("value").contains(",departed,"), "departed").otherwise("arrived")
+    return lines.groupBy(event.alias("event")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.length("value")).alias("n_chars"),
-        F.min("value").alias("first_line"), F.max("value").alias("last_line"),
+        checksum("value").alias("hash"),
     )
 
 
@@ -182,14 +182,13 @@ def _cells_sql() -> str:
 
 
 @query("prediction_cells", with_decisions(f"""
-SELECT qualifier, count(*) AS n, min(row_key) AS first_key, max(row_key) AS last_key,
-  sum(length(value))::BIGINT AS n_chars, max(ts) AS latest
+SELECT qualifier, count(*) AS n, {checksum_sql("row_key || '/' || value")} AS hash, max(ts) AS latest
 FROM ({_cells_sql()}) WHERE value IS NOT NULL GROUP BY qualifier"""))
 def prediction_cells(spark, sf):
     rows = cells.prediction_cells(scoring.decide(_formula_scored(spark, sf)))
     return rows.groupBy("qualifier").agg(
-        F.count(F.lit(1)).alias("n"), F.min("row_key").alias("first_key"), F.max("row_key").alias("last_key"),
-        F.sum(F.length("value")).alias("n_chars"), F.max("ts_micros").alias("latest"),
+        F.count(F.lit(1)).alias("n"), checksum(F.concat_ws("/", "row_key", "value")).alias("hash"),
+        F.max("ts_micros").alias("latest"),
     )
 
 

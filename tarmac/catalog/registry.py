@@ -30,3 +30,13 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
+
+
+def checksum(column: str):
+    """Sum of a hash over texts: equal only when the same texts occur equally often."""
+    digits = F.conv(F.substring(F.md5(column), 1, 7), 16, 10)
+    return F.sum(digits.cast("bigint"))
+
+
+def checksum_sql(column: str) -> str:
+    return f"sum(('0x' || substr(md5({column}), 1, 7))::BIGINT)::BIGINT"

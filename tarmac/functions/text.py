@@ -15,17 +15,20 @@ PAYLOAD_DECIMALS = {
 }
 
 
+WHITE_SPACE = " \t\r\n\x0b\x0c"
+
+
 def clean_line(line) -> Column:
     """Drop trailing white space, then trailing commas, then every double quote."""
     line = F.col(line) if isinstance(line, str) else line
-    bare = F.regexp_replace(F.regexp_replace(line, r"\s+$", ""), r",+$", "")
+    bare = F.rtrim(F.rtrim(line, F.lit(WHITE_SPACE)), F.lit(","))
     return F.translate(bare, '"', "")
 
 
-def split_fields(line) -> Column:
-    """Comma-separated fields without trailing empty ones."""
-    line = F.col(line) if isinstance(line, str) else line
-    return F.split(F.regexp_replace(line, r",+$", ""), ",", -1)
+def field_count(line) -> Column:
+    """Number of comma-separated fields, trailing empty ones left out."""
+    bare = F.rtrim(F.col(line) if isinstance(line, str) else line, F.lit(","))
+    return F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
 
 
 def fixed(column, decimals: int) -> Column:
@@ -57,14 +60,11 @@ def event_payload() -> Column:
     return csv_line(*payload_fields(schemas.EVENT_ROW_COLUMNS))
 
 
-def typed_fields(fields, columns: list[tuple[str, str]]) -> list[Column]:
-    """Array of texts to typed columns; empty or unreadable text becomes null."""
-    fields = F.col(fields) if isinstance(fields, str) else fields
-    out = []
-    for position, (name, kind) in enumerate(columns):
-        value = F.nullif(F.get(fields, F.lit(position)), F.lit(""))
-        out.append((value if kind == "string" else value.try_cast(kind)).alias(name))
-    return out
+def typed_fields(line, columns: list[tuple[str, str]]) -> Column:
+    """A payload line as a struct of typed columns; empty or unreadable text becomes null."""
+    line = F.col(line) if isinstance(line, str) else line
+    ddl = ", ".join(f"{name} {kind}" for name, kind in columns)
+    return F.from_csv(line, ddl, {"mode": "PERMISSIVE", "nullValue": "", "quote": ""})
 
 
 def stamped(line, moment=None) -> Column:

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac import schemas
-from tarmac.functions.text import clean_line, split_fields, typed_fields
+from tarmac.functions.text import clean_line, field_count, typed_fields
 
 
 class UnexpectedFormat(ValueError):
@@ -158,21 +158,22 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def file_report(lines: DataFrame, header: str = schemas.RAW_HEADER) -> DataFrame:
-    """Per file: its line count, first line and verdict.
+    """Per file: its line count and verdict.
 
-    Only the split at offset 0 can hold the first line, so the others contribute
-    a count and nothing else; both aggregates are combined before the shuffle.
+    Only the split at offset 0 can hold the first line, so the others contribute a
+    count and nothing else.  What is kept of the first line is whether it is the
+    header, so no text goes through the shuffle.
     """
     head = F.lit(True) if "block_start" not in lines.columns else F.col("block_start") == 0
     order = F.when(head, F.col("line_no"))
     return (
         lines.groupBy("path")
-        .agg(F.count(F.lit(1)).alias("n_lines"), F.min_by("value", order).alias("first_line"))
-        .withColumn(
-            "verdict",
-            F.when(F.trim("first_line") != header, "unexpected_format")
+        .agg(F.count(F.lit(1)).alias("n_lines"), F.min_by(F.trim("value") == header, order).alias("has_header"))
+        .select(
+            "path", "n_lines",
+            F.when(~F.col("has_header"), "unexpected_format")
             .when(F.col("n_lines") <= 1, "data_unavailable")
-            .otherwise("ok"),
+            .otherwise("ok").alias("verdict"),
         )
     )
 
@@ -183,7 +184,8 @@ def verify_files(lines: DataFrame, header: str = schemas.RAW_HEADER) -> None:
     if bad is None:
         return
     if bad["verdict"] == "unexpected_format":
-        raise UnexpectedFormat(f"{bad['path']}: header={bad['first_line']!r}, expected={header!r}")
+        found = lines.where(F.col("path") == bad["path"]).orderBy("line_no").first()["value"]
+        raise UnexpectedFormat(f"{bad['path']}: header={found!r}, expected={header!r}")
     raise DataUnavailable(f"{bad['path']}: header only")
 
 
@@ -204,18 +206,14 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
 
 def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
     """Payload lines of exactly 35 fields as typed events; other lines are dropped."""
-    fields = split_fields(column)
-    n = len(schemas.EVENT_ROW_COLUMNS)
     return (
-        lines.where(F.size(fields) == n)
-        .select(*typed_fields(fields, schemas.EVENT_ROW_COLUMNS))
+        lines.where(field_count(column) == len(schemas.EVENT_ROW_COLUMNS))
+        .select(typed_fields(column, schemas.EVENT_ROW_COLUMNS).alias("event_row"))
+        .select("event_row.*")
     )
 
 
 def malformed_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     """The lines `parse_events` drops, with the number of fields found."""
-    n = F.size(split_fields(column))
-    return (
-        lines.withColumn("n_fields", n)
-        .where(F.coalesce(F.col("n_fields") != len(schemas.EVENT_ROW_COLUMNS), F.lit(True)))
-    )
+    wrong = F.coalesce(F.col("n_fields") != len(schemas.EVENT_ROW_COLUMNS), F.lit(True))
+    return lines.withColumn("n_fields", field_count(column)).where(wrong)
