@@ -16,7 +16,7 @@ HEADLINE = [
     "header_check", "arity_check", "utc_times", "flight_events", "event_payload", "good_flights",
     "origin_hour_delay", "with_departure_average", "sliding_arrival_delay",
     "trailing_hour_arrival_delay", "slice_arrival_delay", "features_per_window", "training_set",
-    "test_set", "logistic_eval", "prediction_csv", "prediction_cells", "csv_roundtrip",
+    "test_set", "logistic_eval", "prediction_csv", "csv_roundtrip",
     "minute_counts_stream", "sliding_stream", "cogroup_stream",
 ]
 

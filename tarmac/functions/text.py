@@ -15,20 +15,18 @@ PAYLOAD_DECIMALS = {
 }
 
 
-WHITE_SPACE = " \t\r\n\x0b\x0c"
-
-
 def clean_line(line) -> Column:
     """Drop trailing white space, then trailing commas, then every double quote."""
     line = F.col(line) if isinstance(line, str) else line
-    bare = F.rtrim(F.rtrim(line, F.lit(WHITE_SPACE)), F.lit(","))
-    return F.translate(bare, '"', "")
+    bare = F.regexp_replace(F.regexp_replace(line, r"\s+$", ""), r",+$", "")
+    return F.replace(bare, F.lit('"'), F.lit(""))
 
 
 def field_count(line) -> Column:
     """Number of comma-separated fields, trailing empty ones left out."""
-    bare = F.rtrim(F.col(line) if isinstance(line, str) else line, F.lit(","))
-    return F.length(bare) - F.length(F.translate(bare, ",", "")) + 1
+    line = F.col(line) if isinstance(line, str) else line
+    bare = F.when(line.endswith(","), F.regexp_replace(line, r",+$", "")).otherwise(line)
+    return F.size(F.split(bare, ",", -1))
 
 
 def fixed(column, decimals: int) -> Column:
