@@ -18,6 +18,7 @@ from tarmac.functions import predicates as P
 from tarmac.functions.text import clean_line, csv_line, event_payload, field_count, fixed
 from tarmac.functions.times import departure_hour, time_text
 from tarmac.operators import correction, delays, lookups, training, windows
+from tarmac.session import measured
 from tarmac.sources import files, sample, tables
 
 EVENT_KEY = "op_carrier_fl_num"
@@ -130,11 +131,12 @@ PAYLOAD_SQL = "concat_ws(',', " + ", ".join(
 
 
 def payload_lines(spark, sf) -> DataFrame:
-    """Event payloads; those of carrier UA are cut short and so malformed."""
+    """Stored event payloads; those of carrier UA are cut short and so malformed."""
     cut = F.when(
         F.col("op_unique_carrier") == "UA", F.concat(F.substring_index("line", ",", 30), F.lit(","))
     ).otherwise(F.col("line"))
-    return sample.event_log(spark, sf).withColumn("line", event_payload()).select(cut.alias("value"))
+    lines = sample.event_log(spark, sf).withColumn("line", event_payload()).select(cut.alias("value"))
+    return measured(lines, "payload-lines")
 
 
 @query("arity_check", with_events("""

@@ -25,8 +25,7 @@ def clean_line(line) -> Column:
 def field_count(line) -> Column:
     """Number of comma-separated fields, trailing empty ones left out."""
     line = F.col(line) if isinstance(line, str) else line
-    bare = F.when(line.endswith(","), F.regexp_replace(line, r",+$", "")).otherwise(line)
-    return F.size(F.split(bare, ",", -1))
+    return F.size(F.split(F.regexp_replace(line, r",+$", ""), ",", -1))
 
 
 def fixed(column, decimals: int) -> Column:
