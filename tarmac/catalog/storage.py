@@ -78,7 +78,7 @@ def external_csv_average(spark, sf):
     file_sink.write_csv(log, path)
     kinds = dict(schemas.EVENT_LOG_COLUMNS)
     fields = [{"mode": "NULLABLE", "name": c.upper(), "type": WAREHOUSE_NAMES[kinds[c]]} for c in log.columns]
-    external = files.create_external_table(spark, "fedtzcorr", path, json.dumps(fields))
+    external = files.create_external_table(spark, "external_flights", path, json.dumps(fields))
     return rounded(delays.origin_average_delay(external), "dep_delay", "arr_delay")
 
 
