@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import chat_format, license_rules, url_rules, warc
+from tarmac.llm import chat_format, license_rules, packing, url_rules, warc
 from tarmac.llm.common import Workspace
 from tarmac.session import settle
 
@@ -25,6 +25,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def vocabulary() -> str:
+    """The tokenizer file, at the same place on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@query("op4_packing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), Workspace(spark, "packing"))
+
+
 @query("op6_license_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
