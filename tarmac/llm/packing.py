@@ -21,8 +21,10 @@ table gives no pieces.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -35,32 +37,68 @@ from tarmac.llm.common import Workspace
 CAPACITY = 4096
 GRID = 16
 END = 2
-MEMO = 400_000
+#: Runs, and parts of runs, whose ids a Python worker keeps: about 200 bytes each.
+MEMO = 600_000
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, class int, block bigint"
 
 
+#: Parts of a run that the vocabulary merges on their own.
+PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+"
+
+
 class WordTokens:
     """Token ids of a text as little-endian 32-bit bytes.
 
     The vocabulary splits at white space before it merges, so a text's ids are those of
-    its runs between spaces, tabs and line ends, one after another; ids of runs are kept.
+    its runs between spaces, tabs and line ends, one after another.  Runs of plain Latin
+    letters are lower-cased and taken apart as the vocabulary does it, so a word with a
+    comma is not a new word.  Ids of runs and of parts are kept, up to `MEMO` each; what
+    comes later is encoded each time it occurs.
     """
 
     def __init__(self, path: str) -> None:
+        import regex
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.memo = Tokenizer.from_file(path), {}
+        self.tokenizer = Tokenizer.from_file(path)
+        self.parts = regex.compile(PARTS)
+        self.of_run: dict[str, bytes] = {}
+        self.of_part: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         runs = text.replace("\n", " ").replace("\t", " ").replace("\r", " ").split(" ")
-        new = list({r for r in runs if r not in self.memo})
-        if len(self.memo) + len(new) > MEMO:
-            self.memo, new = {}, list(set(runs))
-        if new:
-            for run, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self.memo[run] = np.array(e.ids, "<u4").tobytes()
-        memo = self.memo
-        return b"".join([memo[r] for r in runs])
+        known = self.of_run
+        found = list(map(known.get, runs))
+        if None in found:
+            lost = [i for i, ids in enumerate(found) if ids is None]
+            new = self._new(list({runs[i] for i in lost}))
+            for i in lost:
+                found[i] = new[runs[i]]
+            if len(known) < MEMO:
+                known.update(new)
+        return b"".join(found)
+
+    def _new(self, runs: list[str]) -> dict[str, bytes]:
+        split = {}
+        for run in runs:
+            plain = run.isprintable() and max(run, default="") < "\u0250" and "\u0130" not in run and "<|" not in run
+            split[run] = self.parts.findall(run.lower()) if plain else [run]
+        ids = self.of_part
+        lost = list({p for parts in split.values() for p in parts if p not in ids})
+        if lost:
+            got = {p: np.array(e.ids, "<u4").tobytes() for p, e in zip(lost, self.tokenizer.encode_batch_fast(lost, add_special_tokens=False))}
+            if len(ids) < MEMO:
+                ids.update(got)
+            else:
+                ids = {p: got[p] if p in got else ids[p] for parts in split.values() for p in parts}
+        return {run: b"".join([ids[p] for p in parts]) for run, parts in split.items()}
+
+
+@lru_cache(1)
+def word_tokens(path: str) -> WordTokens:
+    """One per Python worker, for all the tasks it runs."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    return WordTokens(path)
 
 
 def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY, grid: int = GRID, end: int = END) -> DataFrame:
@@ -68,10 +106,7 @@ def cut_pieces(documents: DataFrame, vocabulary: str, capacity: int = CAPACITY,
     mark = np.array([end], "<u4").tobytes()
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        words, block = WordTokens(vocabulary), TaskContext.get().partitionId()
+        words, block = word_tokens(vocabulary), TaskContext.get().partitionId()
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
