@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import chat_format, license_rules, packing, url_rules, warc
+from tarmac.llm import chat_format, license_rules, line_dedup, packing, positional_index, url_rules, warc
 from tarmac.llm.common import Workspace
 from tarmac.session import settle
 
@@ -25,6 +25,38 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+LEAK_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), b AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), bw AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[s : s + 9], ' ') AS phrase
+  FROM b, LATERAL (SELECT unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS s) WHERE len(w) > 0
+), sizes AS (SELECT DISTINCT n FROM bw
+), dw AS (
+  SELECT uid, s, n, array_to_string(w[s : s + n - 1], ' ') AS phrase
+  FROM d, sizes, LATERAL (SELECT unnest(range(1, len(w) - n + 2)) AS s)
+), m AS (SELECT uid, s, n, item_id FROM dw JOIN bw USING (n, phrase)
+), hit AS (
+  SELECT uid, count(DISTINCT p) AS n_hit FROM (SELECT uid, unnest(range(s, s + n)) AS p FROM (SELECT DISTINCT uid, s, n FROM m)) GROUP BY uid
+), it AS (
+  SELECT uid, count(*) AS n_items, sha256(string_agg(i, ',' ORDER BY i)) AS items_sha256
+  FROM (SELECT DISTINCT uid, item_id::VARCHAR AS i FROM m) GROUP BY uid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (uid) LEFT JOIN it USING (uid)
+"""
+
+
+@query("op2_positional_index", LEAK_SQL)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    work = Workspace(spark, "decontamination")
+    found = positional_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), work)
+    return found.drop("uid", "items")
+
+
 def vocabulary() -> str:
     """The tokenizer file, at the same place on every machine."""
     import public_tokenizers
@@ -42,6 +74,11 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
+@query("op7_line_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Workspace(spark, "line-dedup"))
+
+
 URL_SQL = r"""
 WITH p AS (
   SELECT page_id, CASE WHEN contains(url, '://') THEN regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', ['h', 'p']) END AS x
