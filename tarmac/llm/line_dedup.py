@@ -17,7 +17,8 @@ order of document and line, is deleted; its first copy stays.
    deleted, so the maximal runs go as unions of their parts.
 
 Ranks are numbers of groups, so ranking needs no global sort, and every step is a grouping
-that combines before it shuffles, or a join on ranks.
+that combines before it shuffles, or a join on ranks.  Both sides of these joins grow with
+the corpus, so they are merge joins at any size, and adaptive execution splits hot ranks.
 
 Defined results: null text stays null; lines without words stay where they are, but a
 text of which no line of words is left becomes empty; line IDs are 128-bit hashes; rows
@@ -52,7 +53,7 @@ def _stretches(lines: DataFrame, min_words: int, work: Workspace) -> DataFrame:
     repeated = work.store(
         lines.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         .select("h1", "h2", F.monotonically_increasing_id().alias("name")), "line-ids")
-    here = lines.join(repeated, ["h1", "h2"]).groupBy(*DOC, "i").agg(F.first(F.struct("line", "w", "name")).alias("r")).select(*DOC, "i", "r.*")
+    here = lines.join(repeated.hint("merge"), ["h1", "h2"]).groupBy(*DOC, "i").agg(F.first(F.struct("line", "w", "name")).alias("r")).select(*DOC, "i", "r.*")
     doc = Window.partitionBy(*DOC)
     marked = here.withColumn("stretch", F.col("i") - F.row_number().over(doc.orderBy("i")))
     part = Window.partitionBy(*DOC, "stretch")
@@ -118,7 +119,7 @@ def repeated_lines(lines: DataFrame, work: Workspace, min_words: int = MIN_WORDS
     table = work.store(table, "prefixes")
     intervals = table.groupBy("m", "x", "y").agg(
         F.min(F.struct("doc_id", "th", "at")).alias("copy"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
-    later = table.join(intervals, ["m", "x", "y"]).where(~F.col("copy").eqNullSafe(F.struct("doc_id", "th", "at")))
+    later = table.join(intervals.hint("merge"), ["m", "x", "y"]).where(~F.col("copy").eqNullSafe(F.struct("doc_id", "th", "at")))
     return later.select(*DOC, F.explode("lines").alias("line")).groupBy(*DOC).agg(F.collect_set("line").alias("gone"))
 
 
@@ -127,7 +128,7 @@ def dedup_lines(documents: DataFrame, work: Workspace, min_words: int = MIN_WORD
     lines = work.store(line_table(documents), "lines")
     gone = work.store(repeated_lines(lines, work, min_words), "gone").withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
     keyed = documents.withColumn("_own", F.xxhash64("text"))
-    joined = keyed.join(gone, keyed["doc_id"].eqNullSafe(gone["_doc"]) & (keyed["_own"] == gone["_th"]), "left")
+    joined = keyed.join(gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_doc"]) & (keyed["_own"] == gone["_th"]), "left")
     parts = F.split("text", "\n", -1)
     left = F.filter(parts, lambda s, p: ~F.array_contains("gone", p))
     words_left = F.exists(left, lambda s: s.rlike(RUN))
