@@ -1,11 +1,16 @@
 """Decontamination by a positional inverted index.
 
-`build_index` stores the postings of the corpus: a row for each term and document, with
-the places of the term.  It is partitioned by document, so building it moves nothing.
-Phrases of the benchmark are looked up from their rarest term on: its postings, shifted
-by its offset, are the candidate starts; the next terms, in order of rarity, are
-intersected at their own offsets, and what survives all of them is an exact match.
-`proximity_matches` takes pairs of terms within a distance from the same postings.
+`build_index` stores the postings of the corpus: for each document its terms, and beside
+each term the places where it stands.  The index is partitioned by document, so building
+it moves nothing and all lists of a document lie together.  Phrases of the benchmark are
+looked up from their rarest term on: its list, shifted by its offset, gives the candidate
+starts; the lists of the next terms, in order of rarity, are intersected with them at
+their own offsets, and what survives all of them is an exact match.  Rarity is the number
+of documents with the term, counted over the whole index.  `proximity_matches` takes pairs
+of terms within a distance from the same postings.
+
+Phrases are the query set.  They go to the tasks in blocks of at most `BLOCK` phrases,
+with one pass over the index for each block; what is sent never depends on the corpus.
 
 The index may be held to the vocabulary that will be asked for.  The vocabulary reaches
 the tasks as a Bloom filter of a fixed size, so a larger benchmark only makes the filter
@@ -24,6 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
@@ -33,9 +39,9 @@ from tarmac.llm.common import LOWER, WORD, Workspace, words
 WINDOW = 10
 #: Size of the vocabulary filter: 2 MB.
 BLOOM_BITS = 1 << 24
-#: Terms intersected one after another before the rest is checked together.
-RARE = 2
-POSTINGS = "uid bigint, doc_id bigint, term string, places array<int>"
+#: Phrases sent to the tasks at once.
+BLOCK = 50_000
+INDEX = "uid bigint, doc_id bigint, n_words bigint, terms array<string>, places array<array<int>>"
 
 
 def _bits(term: str) -> tuple[int, int]:
@@ -61,60 +67,61 @@ def vocabulary_filter(terms: DataFrame) -> bytes:
     return np.packbits(filter_).tobytes()
 
 
+class _Codes(dict):
+    """Term -> number in `names`, or -1 for terms that the filter rejects."""
+
+    def __init__(self, bits: np.ndarray | None) -> None:
+        super().__init__()
+        self.bits, self.names = bits, []
+
+    def __missing__(self, term: str) -> int:
+        code = -1
+        if self.bits is None or all(self.bits[b] for b in _bits(term)):
+            code = len(self.names)
+            self.names.append(term)
+        self[term] = code
+        return code
+
+
 def build_index(documents: DataFrame, only: bytes | None = None) -> DataFrame:
-    """Postings of every document, and a row with a null term whose place is the number of words.
+    """Postings of every document: uid (names the row of `documents`), doc_id, n_words, terms, places.
 
-    `uid` names the row of `documents`; `only` is a filter of `vocabulary_filter`.
+    `only` is a filter of `vocabulary_filter`.
     """
     filter_ = None if only is None else documents.sparkSession.sparkContext.broadcast(only)
 
     def postings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        word, base = re.compile(WORD), TaskContext.get().partitionId() << 40
+        find, base = re.compile(WORD).findall, TaskContext.get().partitionId() << 40
         bits = None if filter_ is None else np.unpackbits(np.frombuffer(filter_.value, np.uint8)).view(bool)
-        known: dict[str, bool] = {}
-
-        def wanted(term: str) -> bool:
-            if bits is None:
-                return True
-            if (found := known.get(term)) is None:
-                if len(known) > 2_000_000:
-                    known.clear()
-                a, b = _bits(term)
-                found = known[term] = bool(bits[a] and bits[b])
-            return found
-
+        codes = _Codes(bits)
         for batch in batches:
-            ids: dict[str, int] = {}
-            docs, sizes, tokens, at = batch[0].to_pylist(), [], [], []
+            if len(codes) > 1_000_000:
+                codes = _Codes(bits)
+            code_of, sizes, tokens = codes.__getitem__, [], []
             for i in range(batch.num_rows):
-                found = word.findall((batch[1][i].as_py() or "").translate(LOWER))
+                found = find((batch[1][i].as_py() or "").translate(LOWER))
                 sizes.append(len(found))
-                tokens.append(np.fromiter((ids.setdefault(w, len(ids)) for w in found), np.int64, len(found)))
-                at.append(np.arange(len(found), dtype=np.int32))
-            names = list(ids)
-            keep = np.fromiter((wanted(t) for t in names), bool, len(names))
-            token, place = np.concatenate(tokens), np.concatenate(at)
-            owner = np.repeat(np.arange(len(sizes)), sizes)
-            if len(token):
-                kept = keep[token]
-                token, place, owner = token[kept], place[kept], owner[kept]
-            # postings lists: runs of one term and document, places in order
-            order = np.lexsort((owner, token))
-            token, place, owner = token[order], place[order], owner[order]
-            new = np.flatnonzero(np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])]) if len(token) else np.zeros(0, int)
+                tokens.append(np.fromiter(map(code_of, found), np.int64, len(found)))
             n = len(sizes)
-            offsets = np.r_[np.append(new, len(token)) if len(new) else [0], len(token) + np.arange(1, n + 1)].astype(np.int32)
-            rows = np.r_[owner[new], np.arange(n)]
-            uid = base + rows
-            base += n
-            terms = pa.array(names, pa.string()).take(pa.array(token[new])) if len(new) else pa.array([], pa.string())
+            token = np.concatenate([*tokens, np.zeros(0, np.int64)])
+            begins = np.cumsum([0, *sizes])
+            at = np.flatnonzero(token >= 0)
+            owner = np.searchsorted(begins, at, "right") - 1
+            # lists: runs of one document and term, places in order
+            key = owner << 32 | token[at]
+            order = np.argsort(key, kind="stable")
+            key, place = key[order], (at - begins[owner])[order].astype(np.int32)
+            new = np.flatnonzero(np.diff(key, prepend=-1))
+            lists = np.searchsorted(key[new] >> 32, np.arange(n + 1)).astype(np.int32)
+            terms = pa.array(codes.names, pa.string()).take(pa.array(key[new] & 0xFFFFFFFF))
+            inner = pa.ListArray.from_arrays(pa.array(np.append(new, len(key)).astype(np.int32)), pa.array(place))
             yield pa.RecordBatch.from_arrays([
-                pa.array(uid, pa.int64()), pa.array(docs, pa.int64()).take(pa.array(rows)),
-                pa.concat_arrays([terms, pa.nulls(n, pa.string())]),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.r_[place, np.array(sizes, np.int32)].astype(np.int32)))],
-                names=["uid", "doc_id", "term", "places"])
+                pa.array(base + np.arange(n), pa.int64()), batch[0].cast(pa.int64()), pa.array(sizes, pa.int64()),
+                pa.ListArray.from_arrays(pa.array(lists), terms), pa.ListArray.from_arrays(pa.array(lists), inner)],
+                names=["uid", "doc_id", "n_words", "terms", "places"])
+            base += n
 
-    return documents.select("doc_id", "text").mapInArrow(postings, POSTINGS)
+    return documents.select("doc_id", "text").mapInArrow(postings, INDEX)
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -124,45 +131,64 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
     return item.select("item_id", F.explode(F.transform(starts, lambda s: F.slice("w", s, F.lit(width)))).alias("terms"))
 
 
-def phrase_matches(index: DataFrame, phrases: DataFrame, work: Workspace) -> DataFrame:
+def phrase_matches(index: DataFrame, phrases: DataFrame, work: Workspace, block: int = BLOCK) -> DataFrame:
     """uid, phrase, start, n: every place where a phrase's terms stand one after another.
 
     phrases: phrase (its key) and terms (array of strings, all phrases distinct).
     """
     slots = phrases.select("phrase", F.posexplode("terms").alias("offset", "term"))
-    postings = index.where("term IS NOT NULL").drop("doc_id")
-    frequency = postings.groupBy("term").agg(F.sum(F.size("places")).alias("n"))
-    order = Window.partitionBy("phrase").orderBy(F.coalesce("n", F.lit(0)), "offset")
-    slots = work.store(
-        slots.join(frequency, "term", "left").withColumn("turn", F.row_number().over(order)), "slots")
-    sizes = phrases.select("phrase", F.size("terms").alias("n"))
-
-    def of(turn: int) -> DataFrame:
-        return slots.where(F.col("turn") == turn).select("phrase", "offset", "term")
-
-    found = work.store(
-        of(1).join(postings, "term").select("phrase", "uid", F.explode("places").alias("place"), "offset")
-        .select("phrase", "uid", (F.col("place") - F.col("offset")).alias("start")).where("start >= 0"), "candidates")
-    for turn in range(2, RARE + 2):
-        # a phrase with fewer terms has nothing left to intersect
-        wide = found.join(of(turn), "phrase", "left")
-        rare = postings.join(of(turn).select("term").distinct(), "term", "left_semi")
-        hit = F.col("term").isNull() | F.array_contains("places", F.col("start") + F.col("offset"))
-        narrowed = work.store(
-            wide.join(rare, ["uid", "term"], "left").where(hit).select("phrase", "uid", "start"), f"candidates-{turn}")
-        work.drop(found)
-        found = narrowed
-    # the rest of the terms, all together, in the documents that are left
-    left = slots.where(F.col("turn") > RARE + 1).select("phrase", "offset", "term")
-    here = postings.join(found.select("uid").distinct(), "uid", "left_semi")
-    checked = (
-        found.join(left, "phrase").join(here, ["uid", "term"])
-        .where(F.array_contains("places", F.col("start") + F.col("offset")))
-        .groupBy("uid", "phrase", "start").agg(F.count(F.lit(1)).alias("met")))
-    asked = sizes.where(F.col("n") > RARE + 1)
-    exact = checked.join(asked, "phrase").where(F.col("met") == F.col("n") - RARE - 1).select("uid", "phrase", "start", "n")
-    short = found.join(sizes.where(F.col("n") <= RARE + 1), "phrase").select("uid", "phrase", "start", "n")
-    return exact.unionByName(short)
+    documents_with = index.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n"))
+    ordered = work.store(
+        slots.join(documents_with, "term", "left").groupBy("phrase").agg(
+            F.sort_array(F.collect_list(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "offset", "term"))).alias("slots")), "phrases")
+    # blocks by hash come out about even: at half the size none is over it
+    parts = -(-2 * ordered.count() // block)
+    found = None
+    for k in range(max(parts, 1)):
+        rows = ordered.where(F.pmod(F.xxhash64("phrase"), F.lit(max(parts, 1))) == k).select("phrase", "slots.offset", "slots.term").collect()
+        by_anchor: dict[str, list] = {}
+        for r in rows:
+            by_anchor.setdefault(r["term"][0], []).append((r["phrase"], r["offset"], r["term"]))
+        one = index.select("uid", "terms", "places").mapInArrow(_matcher(by_anchor), "uid bigint, phrase bigint, start int, n int")
+        found = one if found is None else found.unionByName(one)
+    return found
+
+
+def _matcher(by_anchor: dict[str, list]):
+    """The pass over the index for phrases given by their rarest term: (phrase, offsets, terms), rarest first."""
+
+    def matches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchors = list(by_anchor)
+        wanted = pa.array(anchors, pa.string())
+        for batch in batches:
+            terms, places = batch[1].flatten(), batch[2].flatten()
+            row = pc.list_parent_indices(batch[1]).to_numpy(zero_copy_only=False)
+            which = pc.fill_null(pc.index_in(terms, wanted), -1).to_numpy(zero_copy_only=False)
+            out, now, lists = [], -1, {}
+            for k in np.flatnonzero(which >= 0):
+                if row[k] != now:
+                    now, lists = row[k], {}
+                    low, high = np.searchsorted(row, [now, now + 1])
+                    where = dict(zip(terms.slice(low, high - low).to_pylist(), range(low, high)))
+                for phrase, offsets, own in by_anchor[anchors[which[k]]]:
+                    starts = None
+                    for offset, term in zip(offsets, own):
+                        if term not in lists:
+                            lists[term] = frozenset(places[where[term]].as_py()) if term in where else frozenset()
+                        if starts is None:
+                            starts = {p - offset for p in lists[term] if p >= offset}
+                        else:
+                            starts = {s for s in starts if s + offset in lists[term]}
+                        if not starts:
+                            break
+                    out += [(now, phrase, s, len(own)) for s in starts or ()]
+            if out:
+                rows, phrase, start, n = zip(*out)
+                yield pa.RecordBatch.from_arrays(
+                    [batch[0].take(pa.array(rows, pa.int64())), pa.array(phrase, pa.int64()), pa.array(start, pa.int32()), pa.array(n, pa.int32())],
+                    names=["uid", "phrase", "start", "n"])
+
+    return matches
 
 
 def proximity_matches(index: DataFrame, pairs: DataFrame, within: int) -> DataFrame:
@@ -170,8 +196,9 @@ def proximity_matches(index: DataFrame, pairs: DataFrame, within: int) -> DataFr
 
     pairs: pair (its key), first and second.
     """
-    one = index.select("uid", F.col("term").alias("first"), F.col("places").alias("a")).join(pairs, "first")
-    two = index.select("uid", F.col("term").alias("second"), F.col("places").alias("b"))
+    postings = index.select("uid", F.explode(F.arrays_zip("terms", "places")).alias("p"))
+    one = postings.select("uid", F.col("p.terms").alias("first"), F.col("p.places").alias("a")).join(pairs, "first")
+    two = postings.select("uid", F.col("p.terms").alias("second"), F.col("p.places").alias("b"))
     near = one.join(two, ["uid", "second"]).select("uid", "pair", "b", F.explode("a").alias("place"))
     return near.select("uid", "pair", "place", F.explode(F.filter("b", lambda p: F.abs(p - F.col("place")) <= within)).alias("other")).where("place <> other")
 
@@ -196,7 +223,7 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, work: Workspace, w
     items = (
         matches.select("uid", "phrase").distinct().join(owners.select("phrase", F.explode_outer("items").alias("item_id")), "phrase")
         .groupBy("uid").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    totals = index.where("term IS NULL").select("uid", "doc_id", F.col("places")[0].cast("bigint").alias("n_words"))
+    totals = index.select("uid", "doc_id", "n_words")
     none = F.array().cast("array<string>")
     return totals.join(hit.join(items, "uid"), "uid", "left").select(
         "uid", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
