@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import chat_format, license_rules, line_dedup, packing, positional_index, url_rules, warc
+from tarmac.llm import chat_format, chosen_path, license_rules, line_dedup, packing, positional_index, robust_outliers, url_rules, warc
 from tarmac.llm.common import Workspace
 from tarmac.session import settle
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_robust_outliers")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return robust_outliers.judge(table(spark, sf_dir, "documents"), Workspace(spark, "quality"))
+
+
 LEAK_SQL = r"""
 WITH d AS (
   SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
@@ -69,6 +74,11 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), Workspace(spark, "packing"))
 
 
+@query("op5_chosen_path")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "jaccard")).drop("uid")
+
+
 @query("op6_license_rules")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
