@@ -284,9 +284,9 @@ def components(edges: DataFrame, work: Workspace, rounds: int = 40) -> DataFrame
 def similar_documents(
     documents: DataFrame, work: Workspace, recall: float = RECALL, depth: int = DEPTH, small: int = SMALL,
 ) -> DataFrame:
-    """uid, doc_id, class_id, n_links: one row per document.
+    """uid, doc_id, th (a hash of the text), root, class_id, n_links: one row per document.
 
-    class_id is the smallest doc_id of the class, n_links the number of other documents at
+    root names the class, class_id is the smallest doc_id in it, n_links the number of other documents at
     least `THRESHOLD` similar.
     """
     sets = work.store(document_sets(documents), "sets")
@@ -294,7 +294,7 @@ def similar_documents(
     classes = work.store(with_set.groupBy("key1", "key2").agg(
         F.min(F.struct("uid", "doc_id", "th")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"),
     ).select("key1", "key2", F.col("first.uid").alias("rep"), "first.doc_id", "first.th", "copies", "sketch"), "classes")
-    member = with_set.select("uid", "doc_id", "key1", "key2").join(classes.select("key1", "key2", "rep", "copies").hint("merge"), ["key1", "key2"])
+    member = with_set.select("uid", "doc_id", "th", "key1", "key2").join(classes.select("key1", "key2", "rep", "copies").hint("merge"), ["key1", "key2"])
     member = work.store(member.drop("key1", "key2"), "members")
     reps = classes.select("rep", "doc_id", "th", "copies", "sketch")
     buckets = work.store(_buckets(reps, work, runs_for(recall, depth=depth), depth, small), "buckets")
@@ -304,7 +304,7 @@ def similar_documents(
     placed = (
         member.join(weights, "rep", "left").join(roots.withColumnRenamed("node", "rep"), "rep", "left")
         .withColumn("root", F.coalesce("root", "rep")))
-    placed = work.store(placed.select("uid", "doc_id", "root", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "placed")
+    placed = work.store(placed.select("uid", "doc_id", "th", "root", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "placed")
     names = placed.groupBy("root").agg(F.min("doc_id").alias("class_id"))
-    alone = sets.where("n = 0").select("uid", "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
-    return placed.join(names, "root").select("uid", "doc_id", "class_id", "n_links").unionByName(alone)
+    alone = sets.where("n = 0").select("uid", "doc_id", "th", F.col("uid").alias("root"), F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links"))
+    return placed.join(names.hint("merge"), "root").select("uid", "doc_id", "th", "root", "class_id", "n_links").unionByName(alone)

@@ -41,7 +41,7 @@ WINDOW = 10
 BLOOM_BITS = 1 << 24
 #: Phrases sent to the tasks at once.
 BLOCK = 50_000
-INDEX = "uid bigint, doc_id bigint, n_words bigint, terms array<string>, places array<array<int>>"
+INDEX = "uid bigint, doc_id bigint, th bigint, n_words bigint, terms array<string>, places array<array<int>>"
 
 
 def _bits(term: str) -> tuple[int, int]:
@@ -84,7 +84,7 @@ class _Codes(dict):
 
 
 def build_index(documents: DataFrame, only: bytes | None = None) -> DataFrame:
-    """Postings of every document: uid (names the row of `documents`), doc_id, n_words, terms, places.
+    """Postings of every document: uid (names the row of `documents`), doc_id, th (a hash of the text), n_words, terms, places.
 
     `only` is a filter of `vocabulary_filter`.
     """
@@ -116,12 +116,12 @@ def build_index(documents: DataFrame, only: bytes | None = None) -> DataFrame:
             terms = pa.array(codes.names, pa.string()).take(pa.array(key[new] & 0xFFFFFFFF))
             inner = pa.ListArray.from_arrays(pa.array(np.append(new, len(key)).astype(np.int32)), pa.array(place))
             yield pa.RecordBatch.from_arrays([
-                pa.array(base + np.arange(n), pa.int64()), batch[0].cast(pa.int64()), pa.array(sizes, pa.int64()),
+                pa.array(base + np.arange(n), pa.int64()), batch[0].cast(pa.int64()), batch[2], pa.array(sizes, pa.int64()),
                 pa.ListArray.from_arrays(pa.array(lists), terms), pa.ListArray.from_arrays(pa.array(lists), inner)],
-                names=["uid", "doc_id", "n_words", "terms", "places"])
+                names=["uid", "doc_id", "th", "n_words", "terms", "places"])
             base += n
 
-    return documents.select("doc_id", "text").mapInArrow(postings, INDEX)
+    return documents.select("doc_id", "text", F.xxhash64("text")).mapInArrow(postings, INDEX)
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
@@ -223,10 +223,10 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, work: Workspace, w
     items = (
         matches.select("uid", "phrase").distinct().join(owners.select("phrase", F.explode_outer("items").alias("item_id")), "phrase")
         .groupBy("uid").agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("items")))
-    totals = index.select("uid", "doc_id", "n_words")
+    totals = index.select("uid", "doc_id", "th", "n_words")
     none = F.array().cast("array<string>")
     return totals.join(hit.join(items, "uid"), "uid", "left").select(
-        "uid", "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
+        "uid", "doc_id", "th", "n_words", F.coalesce("n_hit", F.lit(0)).cast("bigint").alias("n_hit"),
         F.size(F.coalesce("items", none)).cast("bigint").alias("n_items"),
         F.sha2(F.array_join(F.coalesce("items", none), ","), 256).alias("items_sha256"),
         (F.coalesce("n_hit", F.lit(0)) > 0).alias("contaminated"), F.coalesce("items", none).alias("items"))

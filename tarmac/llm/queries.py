@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import chat_format, chosen_path, license_rules, line_dedup, packing, positional_index, robust_outliers, url_rules, warc
+from tarmac.llm import chat_format, chosen_path, license_rules, line_dedup, main_text, packing, positional_index, robust_outliers, url_rules, warc
 from tarmac.llm.common import Workspace
 from tarmac.session import settle
 
@@ -27,7 +27,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_robust_outliers")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return robust_outliers.judge(table(spark, sf_dir, "documents"), Workspace(spark, "quality"))
+    return robust_outliers.judge(table(spark, sf_dir, "documents"), Workspace(spark, "quality")).drop("th", "lang", "source")
 
 
 LEAK_SQL = r"""
@@ -59,7 +59,12 @@ FROM d LEFT JOIN hit USING (uid) LEFT JOIN it USING (uid)
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     work = Workspace(spark, "decontamination")
     found = positional_index.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), work)
-    return found.drop("uid", "items")
+    return found.drop("uid", "th", "items")
+
+
+@query("op3_main_text")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(table(spark, sf_dir, "pages"))
 
 
 def vocabulary() -> str:
@@ -76,7 +81,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_chosen_path")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_path.similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "jaccard")).drop("uid")
+    return chosen_path.similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "jaccard")).drop("uid", "th", "root")
 
 
 @query("op6_license_rules")

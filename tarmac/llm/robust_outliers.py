@@ -119,7 +119,7 @@ KINDS = bytes(
 
 
 def describe(documents: DataFrame) -> DataFrame:
-    """doc_id, lang, source, the base counts, base_failed and `v`, the vector."""
+    """doc_id, th (a hash of the text), lang, source, the base counts, base_failed and `v`, the vector."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,11 +131,11 @@ def describe(documents: DataFrame) -> DataFrame:
                 vectors.append(statistics(text, *base, words))
             columns = [pa.array(c, pa.int64()) for c in zip(*counts)] if counts else [pa.array([], pa.int64())] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch[0], batch[1], batch[2], *columns, pa.array(vectors, pa.list_(pa.int64()))],
-                names=["doc_id", "lang", "source", *(c.split()[0] for c in BASE.split(", ")), "v"])
+                [batch[0], batch[4], batch[1], batch[2], *columns, pa.array(vectors, pa.list_(pa.int64()))],
+                names=["doc_id", "th", "lang", "source", *(c.split()[0] for c in BASE.split(", ")), "v"])
 
-    rows = documents.select(F.col("doc_id").cast("bigint"), "lang", "source", "text").mapInArrow(
-        described, f"doc_id bigint, lang string, source string, {BASE}, v array<bigint>")
+    rows = documents.select(F.col("doc_id").cast("bigint"), "lang", "source", "text", F.xxhash64("text")).mapInArrow(
+        described, f"doc_id bigint, th bigint, lang string, source string, {BASE}, v array<bigint>")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > REPEAT_PERCENT * F.col("n_words"))
     return rows.withColumn("base_failed", failed)
 
@@ -233,7 +233,7 @@ def concentrate(rows: DataFrame, work: Workspace, steps: int = STEPS) -> DataFra
 
 
 def judge(documents: DataFrame, work: Workspace, cutoff: float = CUTOFF) -> DataFrame:
-    """doc_id, the base counts, base_failed, kept, distance and scope: one row per document."""
+    """doc_id, th, lang, source, the base counts, base_failed, kept, distance and scope: one row per document."""
     rows = work.store(describe(documents), "statistics")
     scopes = _scopes(rows, work).withColumnsRenamed({"lang": "_lang", "source": "_source"})
     met = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
@@ -244,5 +244,5 @@ def judge(documents: DataFrame, work: Workspace, cutoff: float = CUTOFF) -> Data
     z = [F.col("v")[i] / F.lit(float(UNIT)) - F.col("center")[i] for i in range(d)]
     d2 = sum((z[i] * z[j] * F.col("inverse")[i * d + j] * (1.0 if i == j else 2.0) for i in range(d) for j in range(i, d)), F.lit(0.0))
     return joined.select(
-        "doc_id", *[c.split()[0] for c in BASE.split(", ")], "base_failed",
+        "doc_id", "th", "lang", "source", *[c.split()[0] for c in BASE.split(", ")], "base_failed",
         (~F.col("base_failed") & (F.coalesce(d2, F.lit(0.0)) <= cutoff)).alias("kept"), F.round(d2, 3).alias("distance"), "scope")
