@@ -28,7 +28,7 @@ def work(spark):
 
 def frame(spark, texts):
     """Documents with columns whose names the operators use themselves."""
-    return spark.createDataFrame([(i, t, "en" if i % 2 else None, "s", 0, "x", "y", "z") for i, t in texts], DOCS)
+    return spark.createDataFrame([(i, t, "en" if i and i % 2 else None, "s", 0, "x", "y", "z") for i, t in texts], DOCS)
 
 
 @pytest.fixture(scope="module")
