@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tarmac.catalog.checksql import with_raw
 from tarmac.catalog.registry import query, rounded
-from tarmac.functions.features import DELAY_EDGES, DISTANCE_EDGES, scaled
+from tarmac.functions.features import scaled
 from tarmac.functions.predicates import flown, has_delays
 from tarmac.operators import bayes, explore, sampling
 from tarmac.operators.lookups import join_days
@@ -247,7 +247,7 @@ def _bin_sql(column: str, edges: list[int]) -> str:
 
 
 BINS_SQL = f"""
-SELECT {_bin_sql('distance', DISTANCE_EDGES)} AS distbin, {_bin_sql('dep_delay', DELAY_EDGES)} AS depdelaybin,
+SELECT {_bin_sql('distance', [214, 316, 394, 493, 596, 731, 868, 1020, 1269])} AS distbin, {_bin_sql('dep_delay', [-8, -6, -4, -3, -2, 0, 2, 6, 13])} AS depdelaybin,
   (arr_delay < 15)::BIGINT::DOUBLE AS ontime FROM raw"""
 
 

@@ -144,7 +144,8 @@ SELECT event, count(*) AS n, sum(dep_delay) AS total_dep_delay, sum(arr_delay) A
   max(epoch(notify_time)::BIGINT) AS latest
 FROM events_log WHERE op_unique_carrier <> 'UA' GROUP BY event"""))
 def arity_check(spark, sf):
-    return files.parse_events(payload_lines(spark, sf)).groupBy("event").agg(
+    wanted = ["event", "dep_delay", "arr_delay", "notify_time"]
+    return files.parse_events(payload_lines(spark, sf), columns=wanted).groupBy("event").agg(
         F.count(F.lit(1)).alias("n"), F.sum("dep_delay").alias("total_dep_delay"),
         F.sum("arr_delay").alias("total_arr_delay"), F.max(F.unix_timestamp("notify_time")).alias("latest"),
     )
@@ -470,6 +471,10 @@ def cogroup_flights(spark, sf):
 
 @query("features_per_window", with_averages("""
 SELECT dest, w::BIGINT AS window_start, count(*) AS n, sum(dep_delay) AS total_dep_delay,
+  sum(coalesce(taxi_out, 0)) AS total_taxiout, sum(distance) AS total_distance,
+  sum((arr_delay < 15)::BIGINT)::DOUBLE AS n_ontime, count(DISTINCT op_unique_carrier) AS n_carriers,
+  count(DISTINCT origin) AS n_origins, min(dep_airport_lat) AS low_dep_lat, min(dep_airport_lon) AS low_dep_lon,
+  max(arr_airport_lat) AS arr_lat, max(arr_airport_lon) AS arr_lon, min(round(m, 6)) AS low_arr_delay,
   max(round(m, 6)) AS avg_arr_delay
 FROM (SELECT *, unnest(range(slot - 3300, slot + 1, 300)) AS w FROM good WHERE arr_delay IS NOT NULL) g
 JOIN (SELECT dest, w, avg(arr_delay) AS m FROM (
@@ -480,6 +485,11 @@ def features_per_window(spark, sf):
     rows = training.features_per_window(sample.event_log(spark, sf), _averages(spark, sf))
     return rows.groupBy("dest", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.sum("dep_delay").alias("total_dep_delay"),
+        F.sum("taxiout").alias("total_taxiout"), F.sum("distance").alias("total_distance"),
+        F.sum("ontime").alias("n_ontime"), F.count_distinct("carrier").alias("n_carriers"),
+        F.count_distinct("origin").alias("n_origins"), F.min("dep_lat").alias("low_dep_lat"),
+        F.min("dep_lon").alias("low_dep_lon"), F.max("arr_lat").alias("arr_lat"), F.max("arr_lon").alias("arr_lon"),
+        F.min(F.round("avg_arr_delay", 6)).alias("low_arr_delay"),
         F.max(F.round("avg_arr_delay", 6)).alias("avg_arr_delay"),
     )
 

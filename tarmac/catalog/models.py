@@ -16,9 +16,6 @@ from tarmac.sinks import cells, models as model_sink, tables
 from tarmac.sources import sample
 
 BASE = ("dep_delay", "taxi_out", "arr_delay", "distance")
-# Width of the hashed airport columns in the queries below; 25 airports do not
-# need the default of 1000.
-BUCKETS = 64
 
 
 def _flights(spark, sf, days: DataFrame, train: bool) -> DataFrame:
@@ -26,17 +23,16 @@ def _flights(spark, sf, days: DataFrame, train: bool) -> DataFrame:
     return join_days(rows.where(P.flown() & P.has_delays()), days, train).select("holdout", *BASE)
 
 
-def _parts(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Training, held-out and test flights, from one stored table."""
+def _parts(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Flights of the training days, the held-out ones marked and stored once, and test flights."""
     days = sampling.with_holdout(sample.train_days(spark), seed=None)
     train = measured(_flights(spark, sf, days, True), "model-train")
-    test = _flights(spark, sf, days, False)
-    return train.where("NOT holdout"), train.where("holdout"), test
+    return train, _flights(spark, sf, days, False)
 
 
 def _model(spark, sf):
-    train, held_out, test = _parts(spark, sf)
-    return logistic.fit(train.unionByName(held_out)), test
+    train, test = _parts(spark, sf)
+    return logistic.fit(train), test
 
 
 @query("logistic_eval")
@@ -70,8 +66,8 @@ def logistic_saved_model_eval(spark, sf):
 def logistic_scaled_eval(spark, sf):
     from tarmac.functions.features import scaled
 
-    train, held_out, test = _parts(spark, sf)
-    model = logistic.fit(train.unionByName(held_out).withColumns(scaled()))
+    train, test = _parts(spark, sf)
+    model = logistic.fit(train.withColumns(scaled()))
     return evaluate.probabilistic(logistic.evaluated(model, test.withColumns(scaled())))
 
 
@@ -83,8 +79,8 @@ def probability_sweep(spark, sf):
 
 @query("feature_ablation")
 def feature_ablation(spark, sf):
-    train, held_out, _ = _parts(spark, sf)
-    return logistic.ablation(train, held_out)
+    train, _ = _parts(spark, sf)
+    return logistic.ablation(train.where("NOT holdout"), train.where("holdout"))
 
 
 FORMULA_SQL = "greatest(0, least(1, 0.5 - dep_delay / 100))"
@@ -211,49 +207,88 @@ def prediction_payload(spark, sf):
     )
 
 
-def _training_parts(spark, sf) -> tuple[DataFrame, DataFrame]:
-    """Training rows of the training days and of the others, stored once."""
-    days = sample.train_days(spark)
-    featured = _featured(spark, sf).join(days, "fl_date")
-    both = featured.where("arr_delay IS NOT NULL")
-    train = training.training_rows(both.where("is_train_day"))
-    test = training.training_rows(both.where("NOT is_train_day"))
-    return measured(train, "training-rows"), measured(test, "test-rows")
+def _training_parts(spark, featured: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Training rows of the training days and of the others, read from one stored table."""
+    labeled = featured.join(sample.train_days(spark), "fl_date")
+    rows = measured(training.training_rows(labeled, keep=("is_train_day",)), "training-rows")
+    return tuple(rows.where(c).drop("is_train_day") for c in ("is_train_day", "NOT is_train_day"))
 
 
 @query("linear_columns_eval")
 def linear_columns_eval(spark, sf):
-    train, test = _training_parts(spark, sf)
-    model = logistic.fit_columns(train, BUCKETS)
-    scored = logistic.predict(model, features.with_hashed(test, BUCKETS))
+    train, test = _training_parts(spark, _featured(spark, sf))
+    model = logistic.fit_columns(train, features.AIRPORT_BUCKETS)
+    scored = logistic.predict(model, features.with_hashed(test))
     return evaluate.probabilistic(scored)
 
 
 @query("network_eval")
 def network_eval(spark, sf):
-    train, test = _training_parts(spark, sf)
-    model = network.fit(train, "64-16-4", location=3, airport_buckets=BUCKETS, max_iter=10)
-    return evaluate.probabilistic(network.predict(model, test, 3, BUCKETS))
+    train, test = _training_parts(spark, _featured(spark, sf))
+    model = network.fit(train)
+    return evaluate.probabilistic(network.predict(model, test))
 
 
 @query("tuning_grid")
 def tuning_grid(spark, sf):
-    train, test = _training_parts(spark, sf)
-    settings = [
-        {"layout": "16-4", "location": n, "block_size": b} for n, b in ((3, 128), (4, 256))
-    ]
-    return network.search(train, test, settings, airport_buckets=32, max_iter=8)
+    train, test = _training_parts(spark, _featured(spark, sf))
+    """The two ends of the searched range at full width; `trial_settings()` gives all fifteen."""
+    return network.search(train, test, network.trial_settings(2))
 
 
 @query("scored_flights")
 def scored_flights(spark, sf):
-    train, _ = _training_parts(spark, sf)
-    model = logistic.fit_columns(train, BUCKETS)
-    ready, _ = scoring.scorable(_featured(spark, sf))
-    decided = scoring.decide(scoring.score(model, ready, BUCKETS))
+    featured = measured(_featured(spark, sf), "featured")
+    train, _ = _training_parts(spark, featured)
+    model = logistic.fit_columns(train, features.AIRPORT_BUCKETS)
+    ready, _ = scoring.scorable(featured)
+    decided = scoring.decide(scoring.score(model, ready, features.AIRPORT_BUCKETS))
     return decided.select("op_carrier_fl_num", "origin", "dest", "event", "ontime")
 
 
+EVALUATED_SQL = f"""
+forecasts AS (SELECT {FORMULA_SQL} AS p, (arr_delay < 15)::BIGINT AS label FROM raw
+  WHERE dep_delay IS NOT NULL AND arr_delay IS NOT NULL)"""
+
+
+def _evaluated_sql(keep: str, where: str = "TRUE") -> str:
+    return with_raw("").rstrip() + f""",{EVALUATED_SQL}
+SELECT count_if(NOT keep)::BIGINT AS total_cancel,
+  round(count_if(NOT keep AND label = 0) / nullif(count_if(NOT keep), 0), 6) AS correct_cancel,
+  count_if(keep)::BIGINT AS total_nocancel,
+  round(count_if(keep AND label = 1) / nullif(count_if(keep), 0), 6) AS correct_nocancel,
+  round(count_if(keep = (label = 1)) / nullif(count(*), 0), 6) AS accuracy,
+  round(sqrt(avg((label - p) * (label - p))), 6) AS rmse
+FROM (SELECT *, {keep} AS keep FROM forecasts WHERE {where})"""
+
+
+def _forecasts(spark, sf) -> DataFrame:
+    """Landed flights with the recomputable forecast and their label."""
+    rows = sample.flights(spark, sf, "dep_delay", "arr_delay").where(P.has_delays())
+    return rows.select(
+        _formula_probability().alias("probability"), (F.col("arr_delay") < 15).cast("double").alias("label"))
+
+
+def _rounded_shares(report: DataFrame) -> DataFrame:
+    return rounded(report, *[c for c in report.columns if not c.startswith("total")])
+
+
+@query("forecast_eval", _evaluated_sql("p >= 0.7"))
+def forecast_eval(spark, sf):
+    return _rounded_shares(evaluate.probabilistic(_forecasts(spark, sf)))
+
+
+@query("forecast_band_eval", _evaluated_sql("p >= 0.7", "p > 0.65 AND p < 0.75"))
+def forecast_band_eval(spark, sf):
+    return _rounded_shares(evaluate.near_threshold(_forecasts(spark, sf)))
+
+
+@query("forecast_categorical_eval", f"SELECT * EXCLUDE (accuracy, rmse) FROM ({_evaluated_sql('p >= 0.5')})")
+def forecast_categorical_eval(spark, sf):
+    rows = _forecasts(spark, sf).withColumn("prediction", (F.col("probability") >= 0.5).cast("double"))
+    return _rounded_shares(evaluate.categorical(rows))
+
+
 @query("unscorable_flights", with_averages("""
 SELECT event, cancelled, count(*) AS n FROM featured WHERE dep_delay IS NULL GROUP BY 1, 2"""))
 def unscorable_flights(spark, sf):
@@ -261,7 +296,7 @@ def unscorable_flights(spark, sf):
     return rest.groupBy("event", "cancelled").agg(F.count(F.lit(1)).alias("n"))
 
 
-VOCABULARY_SQL = "[" + ", ".join(f"'{c}'" for c in features.CARRIER_VOCABULARY) + "]"
+VOCABULARY_SQL = "['AS', 'VX', 'F9', 'UA', 'US', 'WN', 'HA', 'EV', 'MQ', 'DL', '00', '86', 'NK', 'AA']"
 
 
 @query("vocabulary_features", with_raw(f"""

@@ -109,7 +109,7 @@ def delay_lookup_file(spark, sf):
     """Averages written as `ORIGIN:HH,mean` to one file and read as a lookup."""
     path = scratch(spark, "delays-csv")
     averages = training.departure_averages(sample.event_log(spark, sf), sample.train_days(spark))
-    datasets.write_single_lines(averages, path)
+    datasets.write_averages(averages, path)
     return rounded(files.read_delay_lookup(spark, path), "avg_dep_delay")
 
 
@@ -171,14 +171,14 @@ def ingested_month(spark, sf):
 
 
 @query("array_map_struct_demo", with_raw("""
-SELECT origin AS word, 'Its weekend!' AS added, 2::BIGINT AS n_fields, origin AS name, origin AS key1, origin AS key3,
+SELECT origin AS word, 'checked' AS added, 2::BIGINT AS n_fields, origin AS name, origin AS key1, origin AS key3,
   count(*) AS n FROM raw GROUP BY origin"""))
 def array_map_struct_demo(spark, sf):
     """Append a constant as an array, build an object and project a member, build a map."""
     word = F.col("origin")
     made = sample.flights(spark, sf, "origin").select(
-        F.array(word, F.lit("Its weekend!")).alias("a"),
-        F.struct(F.lit("Bridgestone").alias("tire"), F.lit("SuperFast").alias("engine"), word.alias("name")).alias("s"),
+        F.array(word, F.lit("checked")).alias("a"),
+        F.struct(F.lit("jet").alias("kind"), F.lit("B6").alias("carrier"), word.alias("name")).alias("s"),
         F.create_map(*[c for k in ("key1", "key2", "key3") for c in (F.lit(k), word)]).alias("m"),
     )
     return made.groupBy(

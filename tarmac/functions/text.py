@@ -57,9 +57,18 @@ def event_payload() -> Column:
     return csv_line(*payload_fields(schemas.EVENT_ROW_COLUMNS))
 
 
-def typed_fields(line, columns: list[tuple[str, str]]) -> Column:
-    """A payload line as a struct of typed columns; empty or unreadable text becomes null."""
+def typed_fields(line, columns: list[tuple[str, str]], wanted=None) -> Column:
+    """A payload line as a struct of typed columns; empty or unreadable text becomes null.
+
+    With `wanted`, the line is split once and only the named fields are cast.
+    """
     line = F.col(line) if isinstance(line, str) else line
+    if wanted is not None:
+        texts = F.split(line, ",", -1)
+        place = {name: (i, kind) for i, (name, kind) in enumerate(columns)}
+        return F.struct(*[
+            F.nullif(F.get(texts, F.lit(place[n][0])), F.lit("")).try_cast(place[n][1]).alias(n) for n in wanted
+        ])
     ddl = ", ".join(f"{name} {kind}" for name, kind in columns)
     return F.from_csv(line, ddl, {"mode": "PERMISSIVE", "nullValue": "", "quote": ""})
 

@@ -6,7 +6,6 @@ from pyspark.ml.feature import Bucketizer, OneHotEncoder, StringIndexerModel, Ve
 from pyspark.ml import Pipeline
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tarmac.functions.features import ontime_label
 from tarmac.functions.keys import hash_bucket
 
 # Numeric inputs, carrier vocabulary and coordinate ranges of the model.
@@ -22,12 +21,6 @@ LATITUDES, LONGITUDES = (20.0, 50.0), (-120.0, -70.0)
 BASE_FEATURES = ("dep_delay", "taxi_out", "distance")
 
 
-def labeled(rows: DataFrame, features: tuple[str, ...] = BASE_FEATURES) -> DataFrame:
-    """Label and feature vector of flights with known values."""
-    known = rows.where(F.col("arr_delay").isNotNull()).dropna(subset=list(features))
-    return assembler(features).transform(known.withColumn("label", ontime_label()))
-
-
 def assembler(columns, output: str = "features") -> VectorAssembler:
     return VectorAssembler(inputCols=list(columns), outputCol=output)
 

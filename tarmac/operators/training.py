@@ -13,10 +13,18 @@ from tarmac.operators.windows import per_window, with_arrival_average
 from tarmac.session import measured
 
 
-def training_rows(events: DataFrame) -> DataFrame:
+#: The event columns that conditions, averages and training rows read.
+EVENT_COLUMNS = (
+    "fl_date", "event", "notify_time", "dep_time", "dep_airport_tzoffset", "cancelled", "diverted", "dep_delay",
+    "taxi_out", "arr_delay", "distance", "op_unique_carrier", "dep_airport_lat", "dep_airport_lon",
+    "arr_airport_lat", "arr_airport_lon", "origin", "dest",
+)
+
+
+def training_rows(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     """The 13 training columns; events without an arrival delay have no label and are dropped.
 
-    Averages not attached yet are null.
+    Averages not attached yet are null.  Columns named in `keep` follow.
     """
     have = set(events.columns)
     optional = {c: F.col(c) if c in have else F.lit(None).cast("double") for c in ("avg_dep_delay", "avg_arr_delay")}
@@ -34,7 +42,7 @@ def training_rows(events: DataFrame) -> DataFrame:
         "origin": F.col("origin"),
         "dest": F.col("dest"),
     }
-    extra = [c for c in ("window_start",) if c in have]
+    extra = [c for c in ("window_start", *keep) if c in have]
     return (
         events.where(F.col("arr_delay").isNotNull())
         .select(*[source[n].alias(n) for n in schemas.names(schemas.TRAINING_COLUMNS)], *extra)

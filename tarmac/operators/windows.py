@@ -109,15 +109,22 @@ def with_arrival_average(
 def per_window(events: DataFrame) -> DataFrame:
     """Every event once per window that holds it, with that window's mean.
 
-    The twelve-fold output is what is asked for here; the means are still
-    computed from slot sums.
+    The twelve-fold output is what is asked for here; the means are still computed
+    from slot sums.  Each slot gets a map of the means of its windows, at most
+    twelve, and the events are joined with it as they are: they are copied after
+    the shuffle, not before.  A window without a mean gives 0.
     """
     known = F.when(is_arrived(), F.col("arr_delay"))
-    means = sliding_means(slot_totals(events, "dest", known), "dest").select(
-        "dest", "window_start", F.col("mean").alias("avg_arr_delay")
+    totals = slot_totals(events, "dest", known)
+    windows = F.sequence(F.col("slot") - (HOUR - FIVE_MINUTES), F.col("slot"), F.lit(FIVE_MINUTES))
+    means = sliding_means(totals, "dest").select("dest", "window_start", F.col("mean").alias("window_mean"))
+    per_slot = (
+        totals.select("dest", "slot", F.explode(windows).alias("window_start"))
+        .join(means, ["dest", "window_start"])
+        .groupBy("dest", "slot")
+        .agg(F.map_from_entries(F.collect_list(F.struct("window_start", "window_mean"))).alias("window_means"))
     )
-    copies = with_slot(events).withColumn(
-        "window_start",
-        F.explode(F.sequence(F.col("slot") - (HOUR - FIVE_MINUTES), F.col("slot"), F.lit(FIVE_MINUTES))),
-    )
-    return with_group_average(copies, means, ["dest", "window_start"], "avg_arr_delay").drop("slot")
+    joined = with_slot(events).join(per_slot, ["dest", "slot"], "left")
+    copies = joined.withColumn("window_start", F.explode(windows))
+    mean = F.coalesce(F.col("window_means")[F.col("window_start")], F.lit(0.0))
+    return copies.withColumn("avg_arr_delay", mean).drop("slot", "window_means")

@@ -10,7 +10,7 @@ from tarmac import schemas
 from tarmac.operators.correction import correct_times, with_timezone
 from tarmac.operators.events import flight_events, with_payload
 from tarmac.session import measured
-from tarmac.sinks.files import write_csv, write_lines, write_single_csv
+from tarmac.sinks.files import write_csv, write_lines
 from tarmac.sinks.tables import write_event_log
 from tarmac.sources import files
 
@@ -61,4 +61,4 @@ def correct_and_log(flights: DataFrame, airports: DataFrame, corrected_out: str,
 
 def filter_airport(lines: DataFrame, code: str, out: str) -> None:
     """Lines that mention an airport."""
-    write_single_csv(lines.where(contains(code)).select("value"), out)
+    write_csv(lines.where(contains(code)).select("value"), out)

@@ -88,26 +88,17 @@ def _with_utc_times(columns: list[tuple[str, str]]) -> list[tuple[str, str]]:
 
 RAW_FLIGHT = struct(RAW_COLUMNS)
 CORRECTED_COLUMNS = _with_utc_times(RAW_COLUMNS) + AIRPORT_COLUMNS
-CORRECTED_FLIGHT = struct(CORRECTED_COLUMNS)
 EVENT_ROW_COLUMNS = CORRECTED_COLUMNS + EVENT_COLUMNS
 FLIGHT_EVENT = struct(EVENT_ROW_COLUMNS)
 # The stored event table types both sequence ids as integers.
 EVENT_LOG_COLUMNS = [
     (n, "bigint" if n.endswith("airport_seq_id") else k) for n, k in EVENT_ROW_COLUMNS
 ] + [("event_data", "string")]
-EVENT_LOG = struct(EVENT_LOG_COLUMNS)
-TRAIN_DAYS = struct([("fl_date", "date"), ("is_train_day", "boolean")])
 DELAY_LOOKUP = struct([("origin_hour", "string"), ("avg_dep_delay", "double")])
 TRAINING_ROW = struct(TRAINING_COLUMNS)
 PREDICTION_COLUMNS = [
     (n, "bigint" if n.endswith("airport_seq_id") else k) for n, k in EVENT_ROW_COLUMNS
 ] + [("ontime", "double")]
-PREDICTION_ROW = struct(PREDICTION_COLUMNS)
-CELL = struct([
-    ("row_key", "string"), ("family", "string"), ("qualifier", "string"),
-    ("value", "string"), ("ts_micros", "bigint"),
-])
-MESSAGE = struct([("timestamp", "timestamp_ntz"), ("message", "string")])
 
 RAW_HEADER = ",".join(n.upper() for n in names(RAW_COLUMNS))
 

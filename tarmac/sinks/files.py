@@ -4,10 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tarmac.session import measured
-
-SINGLE_FILE_ROWS = 1_000_000
-
 
 def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
     """One CSV part per partition."""
@@ -18,16 +14,14 @@ def write_lines(lines: DataFrame, path: str) -> None:
     lines.select("value").write.mode("overwrite").text(path)
 
 
-def write_single_csv(df: DataFrame, path: str, header: bool = False, max_rows: int = SINGLE_FILE_ROWS) -> bool:
-    """CSV in a single part, if the result has at most `max_rows` rows.
+def write_keyed_csv(averages: DataFrame, path: str, header: bool = False) -> None:
+    """CSV in a single part, for a table with one row per airport and hour only.
 
-    The result is stored first, so its size is known before one task is asked to
-    write it.  A larger one is written in parts; the return value says which.
+    Such a table is bounded by its keys, some thousand rows, however many events it
+    sums up.  The aggregation before it keeps its own tasks: only its result is
+    brought together, by one exchange.
     """
-    stored = measured(df, "single-csv")
-    single = stored.count() <= max_rows
-    _csv(stored.coalesce(1) if single else stored, header).csv(path)
-    return single
+    _csv(averages.repartition(1), header).csv(path)
 
 
 def write_csv_with_schema(df: DataFrame, path: str) -> None:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import json
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -23,12 +23,16 @@ class DataUnavailable(ValueError):
 
 
 def read_raw_flights(spark: SparkSession, path: str) -> DataFrame:
-    """Monthly CSV files with a header line each; `path` may be a glob."""
-    return (
+    """Monthly CSV files with a header line each; `path` may be a glob.
+
+    Header lines further down, as in files put together from several, are left out.
+    """
+    rows = (
         spark.read.schema(schemas.RAW_FLIGHT)
         .option("header", True).option("enforceSchema", True).option("nullValue", "")
         .csv(path)
     )
+    return rows.where(~F.col("origin").eqNullSafe("ORIGIN"))
 
 
 def read_corrected_flights(spark: SparkSession, path: str) -> DataFrame:
@@ -72,7 +76,10 @@ def read_delay_lookup(spark: SparkSession, path: str) -> DataFrame:
 def read_training_rows(
     spark: SparkSession, path: str, shuffle: bool = False, limit: int = 0, seed: int = 13,
 ) -> DataFrame:
-    """Headerless training CSV; missing numbers read as 0.0 and missing names as 'na'."""
+    """Headerless training CSV; missing numbers read as 0.0 and missing names as 'na'.
+
+    `limit`, for a first look at the data, bounds the rows returned; 0 returns all.
+    """
     rows = spark.read.schema(schemas.TRAINING_ROW).option("nullValue", "").csv(path)
     rows = rows.fillna(0.0).fillna("na")
     if shuffle:
@@ -204,13 +211,14 @@ def list_files(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path")
 
 
-def parse_events(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Payload lines of exactly 35 fields as typed events; other lines are dropped."""
-    return (
-        lines.where(field_count(column) == len(schemas.EVENT_ROW_COLUMNS))
-        .select(typed_fields(column, schemas.EVENT_ROW_COLUMNS).alias("event_row"))
-        .select("event_row.*")
-    )
+def parse_events(lines: DataFrame, column: str = "value", columns: Sequence[str] | None = None) -> DataFrame:
+    """Payload lines of exactly 35 fields as typed events; other lines are dropped.
+
+    With `columns`, only these fields are parsed and returned.
+    """
+    whole = lines.where(field_count(column) == len(schemas.EVENT_ROW_COLUMNS))
+    row = typed_fields(column, schemas.EVENT_ROW_COLUMNS, columns)
+    return whole.select(row.alias("event_row")).select("event_row.*")
 
 
 def malformed_lines(lines: DataFrame, column: str = "value") -> DataFrame:

@@ -46,7 +46,9 @@ def enrich(
     Collecting the events of a window in state would hold a busy key in one task.
     The stream carries sums only.  Each batch of closed windows is joined back to
     the stored events of the time it covers, a plain join that adaptive execution
-    can split.  Only events of closed windows come out, each exactly once.
+    can split.  Only events of closed windows come out, each exactly once.  An event
+    must be in the stored table before its window closes.  A stream without closed
+    windows gives an empty result.
     """
     path = scratch(spark, "enriched")
     store_means = batch_folder(f"{path}/means")
@@ -70,4 +72,5 @@ def enrich(
 
     each_batch(sliding_averages(stream, key, value, time), join_closed, f"{path}/state")
     schema = stored_events.withColumn(name, F.lit(0.0)).schema
+    spark.createDataFrame([], schema).write.parquet(f"{path}/out/empty")
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/out")

@@ -65,20 +65,20 @@ def test_successful_and_rejected_split_the_input(spark):
 
 
 def test_contains(spark):
-    assert tables.lines(spark, [R1, R2]).where(P.contains("MIA")).count() == 1
+    assert tables.lines(spark, [R1, R2]).where(P.contains("SEA")).count() == 1
 
 
 def test_input_features(spark):
     rows = parsed(spark, R1).withColumns({
         "avg_dep_delay": F.lit(None).cast("double"), "avg_arr_delay": F.lit(None).cast("double")})
-    assert one(rows.select(features.input_features().alias("f")))["f"] == [-4.0, 37.0, 919.0, None, None]
+    assert one(rows.select(features.input_features().alias("f")))["f"] == [6.0, 14.0, 1024.0, None, None]
     departed = parsed(spark, R3).withColumns({"avg_dep_delay": F.lit(1.0), "avg_arr_delay": F.lit(2.0)})
-    assert one(departed.select(features.input_features().alias("f")))["f"] == [-1.0, 0.0, 683.0, 1.0, 2.0]
+    assert one(departed.select(features.input_features().alias("f")))["f"] == [7.0, 0.0, 328.0, 1.0, 2.0]
 
 
 def test_training_row(spark):
     assert tuple(one(training.training_rows(parsed(spark, R1)))) == (
-        1.0, -4.0, 37.0, 919.0, None, None, "AA", 25.79527778, -80.29, 38.85138889, -77.03777778, "MIA", "DCA")
+        1.0, 6.0, 14.0, 1024.0, None, None, "WN", 47.45, -122.31166667, 39.86166667, -104.67305556, "SEA", "DEN")
     late = one(training.training_rows(parsed(spark, changed(R1, ARR_DELAY, "15.00"))))
     assert late["ontime"] == 0.0
     assert training.training_rows(parsed(spark, R3)).count() == 0
@@ -86,39 +86,39 @@ def test_training_row(spark):
 
 def test_departure_hour_and_event_time(spark):
     row = one(parsed(spark, R1).select(times.departure_hour().alias("h"), "notify_time"))
-    assert row["h"] == "19"
-    assert row["notify_time"] == dt.datetime(2018, 1, 3, 3, 32)
-    assert value(spark, times.event_time(F.lit("2018-01-03 03:32:00"))) == dt.datetime(2018, 1, 3, 3, 32)
+    assert row["h"] == "20"
+    assert row["notify_time"] == dt.datetime(2019, 5, 15, 5, 38)
+    assert value(spark, times.event_time(F.lit("2019-05-15 05:38:00"))) == dt.datetime(2019, 5, 15, 5, 38)
 
 
 def test_half_hour_offsets_count_in_whole_hours(spark):
-    row = parsed(spark, changed(R1, 29, "-12600.0"))
+    row = parsed(spark, changed(R1, 29, "-23400.0"))
     assert one(row.select(times.departure_hour().alias("h")))["h"] == "21"
 
 
 def test_origin_hour_average_and_lookup(spark):
     rows = parsed(spark, R2)
     averages = delays.origin_hour_delay(rows)
-    assert tuple(one(averages)) == ("CLT", "00", 9.0)
-    assert one(delays.delay_lines(averages))["value"] == "CLT:00,9.0"
-    assert one(lookups.with_departure_average(rows, averages))["avg_dep_delay"] == 9.0
+    assert tuple(one(averages)) == ("PHX", "06", 29.0)
+    assert one(delays.delay_lines(averages))["value"] == "PHX:06,29.0"
+    assert one(lookups.with_departure_average(rows, averages))["avg_dep_delay"] == 29.0
     assert one(lookups.with_departure_average(parsed(spark, R1), averages))["avg_dep_delay"] == 0.0
-    with pytest.raises(Exception, match="no departure average for MIA:19"):
+    with pytest.raises(Exception, match="no departure average for SEA:20"):
         lookups.with_departure_average(parsed(spark, R1), averages, strict=True).collect()
 
 
 def test_group_average(spark):
     rows = parsed(spark, R2)
-    means = spark.createDataFrame([("RDU", -7.0)], "dest string, avg_arr_delay double")
-    assert one(lookups.with_group_average(rows, means, ["dest"], "avg_arr_delay"))["avg_arr_delay"] == -7.0
-    assert one(windows.with_arrival_average(rows))["avg_arr_delay"] == -7.0
+    means = spark.createDataFrame([("BOI", 6.0)], "dest string, avg_arr_delay double")
+    assert one(lookups.with_group_average(rows, means, ["dest"], "avg_arr_delay"))["avg_arr_delay"] == 6.0
+    assert one(windows.with_arrival_average(rows))["avg_arr_delay"] == 6.0
 
 
 def test_day_selection(spark):
-    days = spark.createDataFrame([(dt.date(2018, 1, 2), True)], "fl_date date, is_train_day boolean")
-    rows = parsed(spark, R1, changed(R1, 0, "2018-01-03"))
-    assert [r["fl_date"].day for r in lookups.select_days(rows, days, True).collect()] == [2]
-    assert [r["fl_date"].day for r in lookups.select_days(rows, days, False).collect()] == [3]
+    days = spark.createDataFrame([(dt.date(2019, 5, 14), True)], "fl_date date, is_train_day boolean")
+    rows = parsed(spark, R1, changed(R1, 0, "2019-05-15"))
+    assert [r["fl_date"].day for r in lookups.select_days(rows, days, True).collect()] == [14]
+    assert [r["fl_date"].day for r in lookups.select_days(rows, days, False).collect()] == [15]
     with pytest.raises(ValueError):
         lookups.select_days(rows, None)
 
@@ -220,14 +220,15 @@ def test_prediction_line_and_cells(spark):
     lines = sorted(r["value"] for r in table_sink.prediction_lines(decided).collect())
     assert lines == sorted([R1 + ",1.00", R3 + ","])
     made = cells.prediction_cells(decided).collect()
-    key = f"MIA#DCA#AA#{2**63 - 1 - 1514941200000}"
+    left = dt.datetime(2019, 5, 15, 3, 10, tzinfo=dt.timezone.utc)
+    key = f"SEA#DEN#WN#{2**63 - 1 - int(left.timestamp()) * 1000}"
     arrived = {c["qualifier"]: c["value"] for c in made if c["row_key"] == key}
-    assert arrived["ONTIME"] == "1.00" and arrived["DEP_DELAY"] == "-4.00"
+    assert arrived["ONTIME"] == "1.00" and arrived["DEP_DELAY"] == "6.00"
     assert "CANCELLATION_CODE" not in arrived
     departed = {c["qualifier"] for c in made if c["row_key"] != key}
     assert "ONTIME" not in departed and "ARR_TIME" not in departed
     typed = {r["event"]: r for r in table_sink.prediction_rows(decided).collect()}
-    assert typed["arrived"]["origin_airport_seq_id"] == 1330303
+    assert typed["arrived"]["origin_airport_seq_id"] == 1474703
     assert typed["departed"]["arr_delay"] is None
 
 
@@ -242,9 +243,9 @@ def test_payload_json(spark):
     rows = parsed(spark, R1).withColumns({"avg_dep_delay": F.lit(1.5), "avg_arr_delay": F.lit(2.5)})
     got = json.loads(one(rows.select(scoring.payload().alias("j")))["j"])
     assert got == [{
-        "dep_delay": -4.0, "taxiout": 0.0, "distance": 919.0, "avg_dep_delay": 1.5, "avg_arr_delay": 2.5,
-        "dep_lat": 25.79527778, "dep_lon": -80.29, "arr_lat": 38.85138889, "arr_lon": -77.03777778,
-        "carrier": "AA", "origin": "MIA", "dest": "DCA"}]
+        "dep_delay": 6.0, "taxiout": 0.0, "distance": 1024.0, "avg_dep_delay": 1.5, "avg_arr_delay": 2.5,
+        "dep_lat": 47.45, "dep_lon": -122.31166667, "arr_lat": 39.86166667, "arr_lon": -104.67305556,
+        "carrier": "WN", "origin": "SEA", "dest": "DEN"}]
 
 
 def test_clean_line(spark):

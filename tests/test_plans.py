@@ -24,7 +24,7 @@ def days(spark):
 
 
 def test_airport_filter(spark, tmp_path):
-    ingest.filter_airport(tables.lines(spark, [R1, R2]), "MIA", str(tmp_path / "o"))
+    ingest.filter_airport(tables.lines(spark, [R1, R2]), "SEA", str(tmp_path / "o"))
     assert spark.read.text(str(tmp_path / "o")).count() == 1
 
 
@@ -34,10 +34,10 @@ def test_line_jobs(spark, tmp_path):
     assert files.read_training_rows(spark, str(tmp_path / "train")).count() == 2
     datasets.hourly_averages(lines, str(tmp_path / "delays"))
     got = {tuple(r) for r in files.read_delay_lookup(spark, str(tmp_path / "delays")).collect()}
-    assert got == {("CLT", "00", 9.0), ("MIA", "19", 33.0)}
+    assert got == {("PHX", "06", 29.0), ("SEA", "20", 20.0)}
     rows = {r["origin"]: r["avg_dep_delay"] for r in datasets.departure_features(lines).collect()}
-    assert rows == {"CLT": 9.0, "MIA": 33.0}
-    day = spark.createDataFrame([("2018-01-02", True)], "d string, is_train_day boolean").select(
+    assert rows == {"PHX": 29.0, "SEA": 20.0}
+    day = spark.createDataFrame([("2019-05-14", True)], "d string, is_train_day boolean").select(
         F.to_date("d").alias("fl_date"), "is_train_day")
     assert datasets.training_day_events(lines, day).count() == 3
 

@@ -12,7 +12,7 @@ from tarmac.plans import ingest
 from tarmac.sinks import files as file_sink, tables as table_sink
 from tarmac.sources import files, tables
 
-BODY = "2018-01-02,AA,19805,AA,1,1,1330303,3,MIA,2,1127805,4,DCA,0100,0056,-4.00,37.00,0133,0329,3.00,0341,0332,-9.00,0.00,,0.00,919.00"
+BODY = "2019-05-14,WN,19393,WN,118,1,1474703,3,SEA,2,1129202,4,DEN,0041,0047,6.00,14.00,0101,0432,6.00,0450,0438,-12.00,0.00,,0.00,1024.00"
 
 
 def quoted(line):
@@ -35,7 +35,7 @@ def test_ingest_month(spark, tmp_path):
     ingest.ingest_month(spark, path, raw, "201801")
     rows = ingest.read_ingested(spark, raw).collect()
     assert len(rows) == 3
-    assert rows[0]["origin"] == "MIA" and rows[0]["dep_time"] == "0056" and rows[0]["cancellation_code"] is None
+    assert rows[0]["origin"] == "SEA" and rows[0]["dep_time"] == "0047" and rows[0]["cancellation_code"] is None
     assert ingest.month_to_ingest(spark, raw) == "201802"
 
 
@@ -75,7 +75,7 @@ def test_raw_flights_glob_with_headers(spark, tmp_path):
     rows = files.read_raw_flights(spark, f"{tmp_path}/*.csv")
     assert rows.count() == 2 and rows.schema == schemas.RAW_FLIGHT
     loaded = files.load_relational(rows).first()
-    assert loaded["dep_time"] == 56 and loaded["distance"] == "919.0"
+    assert loaded["dep_time"] == 47 and loaded["distance"] == "1024.0"
 
 
 def test_airports_from_gzip(spark, tmp_path):
@@ -95,26 +95,39 @@ def test_train_days(spark, tmp_path):
 
 
 def test_training_rows_defaults(spark, tmp_path):
-    (tmp_path / "train.csv").write_text("1.0,2.0,,3.0,,,AA,1,2,3,4,MIA,DCA\n0.0,2.0,1,3.0,4,5,,1,2,3,4,MIA,DCA\n")
+    (tmp_path / "train.csv").write_text("1.0,2.0,,3.0,,,AA,1,2,3,4,SEA,DEN\n0.0,2.0,1,3.0,4,5,,1,2,3,4,SEA,DEN\n")
     rows = files.read_training_rows(spark, str(tmp_path / "train.csv")).collect()
     assert rows[0]["taxiout"] == 0.0 and rows[1]["carrier"] == "na"
     assert files.read_training_rows(spark, str(tmp_path / "train.csv"), shuffle=True, limit=1).count() == 1
 
 
-def test_single_file_or_parts(spark, tmp_path):
-    rows = spark.range(100).repartition(4)
-    assert file_sink.write_single_csv(rows, str(tmp_path / "one"))
-    assert len(list((tmp_path / "one").glob("*.csv"))) == 1
-    assert not file_sink.write_single_csv(rows, str(tmp_path / "many"), max_rows=50)
-    assert spark.read.csv(str(tmp_path / "many")).count() == 100
+@pytest.mark.parametrize("n", [100, 1_000_001])
+def test_layout_does_not_depend_on_size(spark, tmp_path, n):
+    rows = spark.range(n).repartition(4)
+    file_sink.write_csv(rows, str(tmp_path / "parts"))
+    file_sink.write_keyed_csv(rows, str(tmp_path / "one"))
+    assert [len(list((tmp_path / d).glob("*.csv"))) for d in ("parts", "one")] == [4, 1]
+    assert spark.read.csv(str(tmp_path / "parts")).count() == spark.read.csv(str(tmp_path / "one")).count() == n
+
+
+def test_header_lines_inside_a_file(spark, tmp_path):
+    (tmp_path / "joined.csv").write_text((schemas.RAW_HEADER + "\n" + BODY + "\n\n") * 2)
+    assert files.read_raw_flights(spark, str(tmp_path / "joined.csv")).count() == 2
+
+
+def test_wanted_fields_equal_the_whole_parse(spark):
+    lines = tables.lines(spark, [R1, R2])
+    wanted = ["event", "dep_delay", "fl_date", "notify_time", "cancellation_code", "taxi_out"]
+    part, whole = files.parse_events(lines, columns=wanted), files.parse_events(lines).select(wanted)
+    assert part.schema.simpleString() == whole.schema.simpleString() and part.collect() == whole.collect()
 
 
 def test_event_log_is_partitioned_by_day(spark, tmp_path):
     rows = files.parse_events(tables.lines(spark, [R1, R2]))
     path = str(tmp_path / "log")
     table_sink.write_event_log(rows, path)
-    assert [p.name for p in (tmp_path / "log").glob("fl_date=*")] == ["fl_date=2018-01-02"]
-    log = tables.expected_events(spark, path, "2018-01-02").select("dest")
+    assert [p.name for p in (tmp_path / "log").glob("fl_date=*")] == ["fl_date=2019-05-14"]
+    log = tables.expected_events(spark, path, "2019-05-14").select("dest")
     plan = log._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(fl_date" in plan
     assert log.count() == 2
