@@ -28,6 +28,10 @@ def _events(spark, sf, streaming: bool) -> DataFrame:
     )
 
 
+def _closable_events(spark, sf):
+    return runs.closable(_events(spark, sf, True), _events(spark, sf, False))
+
+
 BASE_SQL = """
 base AS (
   SELECT event_id, ts, 'D' || (user_id % 20) AS dest,
@@ -62,14 +66,13 @@ def stamped_lines(spark, sf):
 MINUTE_SQL = f"""WITH {BASE_SQL}
 SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event, count(*) AS n
 FROM base {{where}} GROUP BY 1, 2"""
-CLOSED_MINUTE = "WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= (SELECT max(ts) FROM base)"
 
 
-@query("minute_counts_stream", MINUTE_SQL.format(where=CLOSED_MINUTE))
+@query("minute_counts_stream", MINUTE_SQL.format(where=""))
 def minute_counts_stream(spark, sf):
-    """Every window the watermark has passed, once."""
-    counts = messages.window_counts(_events(spark, sf, True), ["event"])
-    out = runs.collected(spark, counts, "minute-counts")
+    """Every window once, when the watermark has passed it."""
+    stream, close = _closable_events(spark, sf)
+    out = runs.collected(spark, messages.window_counts(stream, ["event"]), "minute-counts", close=close)
     return out.select(time_text("window_start").alias("window_start"), "event", "n")
 
 
@@ -115,11 +118,10 @@ FROM (SELECT dest, CASE WHEN event = 'arrived' THEN arr_delay END AS v, unnest(r
 {{where}} GROUP BY w, dest"""
 
 
-@query("sliding_stream", SLIDING_SQL.format(
-    where="WHERE make_timestamp((w + 3600) * 1000000) <= (SELECT max(ts) FROM base)"))
+@query("sliding_stream", SLIDING_SQL.format(where=""))
 def sliding_stream(spark, sf):
-    means = windows.sliding_averages(_events(spark, sf, True), "dest", _arrival())
-    out = runs.collected(spark, means, "sliding")
+    stream, close = _closable_events(spark, sf)
+    out = runs.collected(spark, windows.sliding_averages(stream, "dest", _arrival()), "sliding", close=close)
     return rounded(
         out.select(time_text("window_start").alias("window_start"), "dest", "mean", "n"), "mean")
 
@@ -128,11 +130,10 @@ def sliding_stream(spark, sf):
 SELECT e.event_id, e.dest, round(coalesce(avg(a.arr_delay), 0), 6) AS mean
 FROM base e LEFT JOIN base a
   ON a.dest = e.dest AND a.event = 'arrived' AND a.slot BETWEEN e.slot - 3300 AND e.slot
-WHERE make_timestamp((e.slot + 300) * 1000000) <= (SELECT max(ts) FROM base)
 GROUP BY e.event_id, e.dest""")
 def cogroup_stream(spark, sf):
-    out = windows.enrich(
-        spark, _events(spark, sf, True), _events(spark, sf, False), "dest", _arrival())
+    stream, close = _closable_events(spark, sf)
+    out = windows.enrich(spark, stream, _events(spark, sf, False), "dest", _arrival(), close=close)
     return rounded(out.select("event_id", "dest", "mean"), "mean")
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tarmac.functions.times import epoch, slot
@@ -40,6 +42,7 @@ def sliding_averages(
 def enrich(
     spark: SparkSession, stream: DataFrame, stored_events: DataFrame, key: str, value: Column,
     time: str = "ts", step_seconds: int = 300, name: str = "mean",
+    close: Callable[[], None] | None = None,
 ) -> DataFrame:
     """Attach the trailing mean of their window to events once the window has closed.
 
@@ -48,7 +51,8 @@ def enrich(
     the stored events of the time it covers, a plain join that adaptive execution
     can split.  Only events of closed windows come out, each exactly once.  An event
     must be in the stored table before its window closes.  A stream without closed
-    windows gives an empty result.
+    windows gives an empty result.  With `close`, that of `runs.closable`, the windows
+    open at the end are closed too.
     """
     path = scratch(spark, "enriched")
     store_means = batch_folder(f"{path}/means")
@@ -70,7 +74,11 @@ def enrich(
         due = due.withColumn("slot", slot(epoch(time), step_seconds))
         write(due.join(means, [key, "slot"]).select(*columns, name), number)
 
-    each_batch(sliding_averages(stream, key, value, time), join_closed, f"{path}/state")
+    means = sliding_averages(stream, key, value, time)
+    each_batch(means, join_closed, f"{path}/state")
+    if close:
+        close()
+        each_batch(means, join_closed, f"{path}/state")
     schema = stored_events.withColumn(name, F.lit(0.0)).schema
     spark.createDataFrame([], schema).write.parquet(f"{path}/out/empty")
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/out")

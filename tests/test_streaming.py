@@ -54,6 +54,21 @@ def test_enriched_events_over_batches(spark, folder):
     assert joined.where("want IS NULL OR got IS NULL OR abs(want - got) > 1e-9").count() == 0
 
 
+def test_closing_row_makes_the_drain_whole(spark, folder):
+    batch = source(spark, folder, False)
+    stream, close = runs.closable(source(spark, folder), batch)
+    out = runs.collected(spark, messages.window_counts(stream, ["event"]), "t", close=close)
+    want = messages.window_counts(batch, ["event"])
+    assert out.exceptAll(want).count() == 0 and want.exceptAll(out).count() == 0
+
+
+def test_enriching_an_empty_stream(spark, tmp_path):
+    path = str(tmp_path / "none")
+    spark.createDataFrame([], SCHEMA).write.parquet(path)
+    out = windows.enrich(spark, source(spark, path), source(spark, path, False), "dest", arrival())
+    assert out.count() == 0 and out.columns[-1] == "mean"
+
+
 def test_late_rows_are_dropped(spark, tmp_path):
     path = str(tmp_path / "late")
     t = dt.datetime(2018, 1, 1, 10, 0)
