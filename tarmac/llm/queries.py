@@ -79,7 +79,26 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary(), Workspace(spark, "packing"))
 
 
-@query("op5_chosen_path")
+NEAR_SQL = r"""
+WITH RECURSIVE d AS MATERIALIZED (
+  SELECT row_number() OVER () AS uid, doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+), g AS MATERIALIZED (
+  SELECT DISTINCT uid, array_to_string(w[s : s + 4], ' ') AS shingle
+  FROM d, LATERAL (SELECT unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS s) WHERE len(w) > 0
+), size AS (SELECT uid, count(*) AS n FROM g GROUP BY uid
+), met AS (
+  SELECT a.uid AS u, b.uid AS v, count(*) AS common FROM g a JOIN g b ON a.shingle = b.shingle AND a.uid <> b.uid GROUP BY ALL
+), link AS MATERIALIZED (
+  SELECT u, v FROM met JOIN size x ON x.uid = u JOIN size y ON y.uid = v WHERE 5 * common >= 4 * (x.n + y.n - common)
+), reach AS (
+  SELECT uid, uid AS goal FROM d UNION SELECT r.uid, l.v FROM reach r JOIN link l ON l.u = r.goal
+), class AS (SELECT r.uid, min(d.doc_id) AS class_id FROM reach r JOIN d ON d.uid = r.goal GROUP BY r.uid
+), degree AS (SELECT u, count(*) AS n FROM link GROUP BY u)
+SELECT doc_id, class_id, coalesce(n, 0)::BIGINT AS n_links FROM d JOIN class USING (uid) LEFT JOIN degree ON u = uid
+"""
+
+
+@query("op5_chosen_path", NEAR_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chosen_path.similar_documents(table(spark, sf_dir, "documents"), Workspace(spark, "jaccard")).drop("uid", "th", "root")
 
@@ -89,7 +108,35 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_rules.scan_licenses(table(spark, sf_dir, "documents")).drop("detections")
 
 
-@query("op7_line_dedup")
+#: Every run of lines from each start, and to each end, that just reaches 50 words; the lines of all but the first copy go.
+LINES_SQL = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS uid, * FROM documents
+), split AS (SELECT uid, doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM d
+), l AS (SELECT uid, doc_id, p, parts[p] AS line FROM split, LATERAL (SELECT unnest(range(1, len(parts) + 1)) AS p)
+), counted AS (SELECT *, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS w FROM l
+), x AS MATERIALIZED (
+  SELECT uid, doc_id, p, line, row_number() OVER o AS i, sum(w) OVER o AS ce, sum(w) OVER o - w AS cb
+  FROM counted WHERE w > 0 WINDOW o AS (PARTITION BY uid ORDER BY p)
+), run AS (
+  SELECT a.uid, a.doc_id, a.i AS a, b.i AS b FROM x a ASOF JOIN x b ON a.uid = b.uid AND a.cb + 50 <= b.ce
+  UNION SELECT b.uid, b.doc_id, a.i, b.i FROM x b ASOF JOIN x a ON a.uid = b.uid AND b.ce - 50 >= a.cb
+), text_of AS (SELECT uid, list(line ORDER BY i) AS lines FROM x GROUP BY uid
+), ranked AS (
+  SELECT uid, a, b, row_number() OVER (PARTITION BY lines[a : b] ORDER BY doc_id, uid, a) AS copy FROM run JOIN text_of USING (uid)
+), gone AS MATERIALIZED (
+  SELECT DISTINCT x.uid, x.p FROM (SELECT uid, unnest(range(a, b + 1)) AS i FROM ranked WHERE copy > 1) r JOIN x ON x.uid = r.uid AND x.i = r.i
+), rest AS (
+  SELECT c.uid, string_agg(line, chr(10) ORDER BY c.p) FILTER (g.p IS NULL) AS text,
+    bool_or(w > 0 AND g.p IS NULL) AS has_words, count(g.p) AS n
+  FROM counted c LEFT JOIN gone g ON g.uid = c.uid AND g.p = c.p GROUP BY c.uid
+)
+SELECT d.* EXCLUDE (uid) REPLACE (CASE WHEN rest.n = 0 THEN d.text WHEN has_words THEN rest.text ELSE '' END AS text),
+  CASE WHEN d.text IS NULL THEN 0 ELSE len(parts) END::BIGINT AS n_lines, rest.n::BIGINT AS n_removed
+FROM d JOIN split USING (uid) JOIN rest USING (uid)
+"""
+
+
+@query("op7_line_dedup", LINES_SQL)
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(table(spark, sf_dir, "documents"), Workspace(spark, "line-dedup"))
 
@@ -123,7 +170,20 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages")).drop("path_glob")
 
 
-WARC_SQL = None  # base32 of a SHA-1 is not a DuckDB function
+#: Five hexadecimal digits are four of base 32.
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages
+), h AS (
+  SELECT page_id, strlen(html) AS n, list_transform(range(8), lambda k: ('0x' || sha1(html)[5 * k + 1 : 5 * k + 5])::BIGINT) AS v,
+    first(page_id) OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS main,
+    row_number() OVER (PARTITION BY html ORDER BY page_id DESC NULLS LAST) AS place FROM p
+)
+SELECT page_id, n::BIGINT AS payload_bytes,
+  array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x & 31) + 1)::INTEGER, 1) FOR x IN
+    flatten(list_transform(v, lambda x: [x >> 15, x >> 10, x >> 5, x]))], '') AS payload_digest,
+  CASE WHEN place = 1 THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN place > 1 THEN main END AS refers_to
+FROM h
+"""
 
 
 @query("op9_warc", WARC_SQL)
