@@ -61,4 +61,4 @@ def correct_and_log(flights: DataFrame, airports: DataFrame, corrected_out: str,
 
 def filter_airport(lines: DataFrame, code: str, out: str) -> None:
     """Lines that mention an airport."""
-    write_csv(lines.where(contains(code)).select("value"), out)
+    write_lines(lines.where(contains(code)), out)
