@@ -217,18 +217,17 @@ def concentrate(rows: DataFrame, work: Workspace, steps: int = STEPS) -> DataFra
     z = [F.col("v")[i] - F.col("center")[i] * UNIT for i in range(d)]
     length = F.sqrt(sum((x * x * F.col("inverse")[i * d + i] for i, x in enumerate(z)), F.lit(1e-6))) / UNIT
     signs = away.select("scope", F.array(*[F.round(F.col("center")[i] * UNIT + x / F.greatest(length, F.lit(1e-3))).cast("bigint") for i, x in enumerate(z)]).alias("v"))
-    results = []
-    for label, fits in (("diagonal", diagonal), ("signs", work.store(_fit(_moments(signs)), "start-signs"))):
-        last = None
-        for step in range(steps):
-            better = work.store(_fit(_moments(_nearest(_distance(rows, fits)))), f"{label}-{step}")
-            fits = better
-            total = fits.agg(F.sum("logdet")).first()[0]
-            if total is None or last is not None and last - total < 1e-3 * max(1, abs(last)):
-                break
-            last = total
-        results.append(fits)
-    best = results[0].unionByName(results[1]).groupBy("scope").agg(F.min_by(F.struct("center", "inverse", "logdet"), "logdet").alias("best"))
+    # both starts go through the steps together, as scopes of their own
+    mark = lambda df, start: df.withColumn("scope", F.concat(F.lit(start), "scope"))
+    twice = rows.select(F.explode(F.array(F.concat(F.lit("d"), "scope"), F.concat(F.lit("s"), "scope"))).alias("scope"), "v")
+    fits, last = mark(diagonal, "d").unionByName(mark(work.store(_fit(_moments(signs)), "start-signs"), "s")), None
+    for step in range(steps):
+        fits = work.store(_fit(_moments(_nearest(_distance(twice, fits)))), f"step-{step}")
+        total = fits.agg(F.sum("logdet")).first()[0]
+        if total is None or last is not None and last - total < 1e-3 * max(1, abs(last)):
+            break
+        last = total
+    best = fits.groupBy(F.expr("substr(scope, 2)").alias("scope")).agg(F.min_by(F.struct("center", "inverse", "logdet"), "logdet").alias("best"))
     return work.store(best.select("scope", "best.*"), "estimates")
 
 
