@@ -8,7 +8,8 @@ embedding: two sets go the same way with the probability of their similarity.  A
 with more than `SMALL` sets is split again, on other coordinates, chosen by the path that
 led to it; small buckets, and those at the deepest level, are compared by brute force.
 Runs are repeated until a pair at the threshold has been missed by all of them with at
-most 1 - `RECALL`, so RECALL sets the number of runs.
+most 1 - `RECALL`, so RECALL sets the number of runs.  No two levels of any runs share a
+coordinate, so that runs miss a pair independently.
 
 A bucket that is still large at the deepest level holds sets that agree on all tokens of
 the path, so it is a group of near copies.  It is compared in blocks of `SMALL` sets, pair
@@ -85,7 +86,17 @@ def runs_for(recall: float = RECALL, threshold: float = THRESHOLD, depth: int =
     return math.ceil(math.log(1 - recall) / math.log(1 - threshold**depth))
 
 
-def document_sets(documents: DataFrame) -> DataFrame:
+def coordinates_for(runs: int, depth: int = DEPTH) -> int:
+    """Coordinates of the sketches: enough for each level of each run to have its own."""
+    return max(COORDINATES, runs * depth)
+
+
+def coordinate_order(runs: int, depth: int = DEPTH) -> np.ndarray:
+    """The coordinates of each run (rows), level by level: one permutation, cut into runs."""
+    return np.random.default_rng(11).permutation(coordinates_for(runs, depth))[: runs * depth].reshape(runs, depth)
+
+
+def document_sets(documents: DataFrame, count: int = COORDINATES) -> DataFrame:
     """uid, doc_id, set size, 128-bit key of the set, and its sketch (null without words)."""
 
     def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -96,7 +107,7 @@ def document_sets(documents: DataFrame) -> DataFrame:
                 hashes = shingle_hashes(batch[1][i].as_py())
                 key = xxhash.xxh3_128_intdigest(hashes.tobytes())
                 rows.append((len(hashes), _signed(key & (2**64 - 1)), _signed(key >> 64),
-                             sketch(hashes).view(np.int32) if len(hashes) else None))
+                             sketch(hashes, count).view(np.int32) if len(hashes) else None))
             if rows:
                 n, k1, k2, sk = zip(*rows)
                 yield pa.RecordBatch.from_arrays([
@@ -114,8 +125,7 @@ def _signed(x: int) -> int:
 
 def _buckets(sets: DataFrame, work: Workspace, runs: int, depth: int, small: int) -> DataFrame:
     """rep, bucket: the buckets to compare; every set has one path per run, cut where its bucket is small."""
-    rng = np.random.default_rng(11)
-    order = np.array([rng.permutation(COORDINATES)[:depth] for _ in range(runs)])
+    order = coordinate_order(runs, depth)
     out = None
     here = sets.select("rep", "sketch", F.posexplode(F.array(*[F.lit(int(c[0])) for c in order])).alias("run", "c"))
     path = F.xxhash64("run", "c", F.col("sketch")[F.col("c")])
@@ -135,7 +145,7 @@ def _buckets(sets: DataFrame, work: Workspace, runs: int, depth: int, small: int
     return out
 
 
-def _compare(buckets: DataFrame, reps: DataFrame, documents: DataFrame, work: Workspace, small: int) -> DataFrame:
+def _compare(buckets: DataFrame, reps: DataFrame, documents: DataFrame, work: Workspace, small: int, count: int) -> DataFrame:
     """rep, other, links: of each unit, the link weight of each set, and the edges of a spanning forest."""
     member = work.store(buckets.join(
         buckets.groupBy("rep").agg(F.sort_array(F.collect_list("bucket")).alias("all")).hint("merge"), "rep"), "meetings")
@@ -159,7 +169,7 @@ def _compare(buckets: DataFrame, reps: DataFrame, documents: DataFrame, work: Wo
 
     def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for unit in _units(batches):
-            yield _links(unit)
+            yield _links(unit, count)
 
     wanted = work.store(
         units.join(reps.select("rep", "sketch").hint("merge"), "rep").repartition("unit").sortWithinPartitions("unit")
@@ -207,10 +217,10 @@ def _pairs(unit: pd.DataFrame, sketches: np.ndarray) -> np.ndarray:
     return pair
 
 
-def _links(unit: pd.DataFrame) -> pd.DataFrame:
+def _links(unit: pd.DataFrame, count: int = COORDINATES) -> pd.DataFrame:
     """Exact comparison of a unit: link weights of each set, and spanning edges."""
     sets = [shingle_hashes(t) for t in unit["text"]]
-    pair = np.triu(_pairs(unit, np.stack([sketch(s).view(np.int32) for s in sets])), 1)
+    pair = np.triu(_pairs(unit, np.stack([sketch(s, count).view(np.int32) for s in sets])), 1)
     size, copies, rep = np.array([len(s) for s in sets]), unit["copies"].to_numpy(), unit["rep"].to_numpy()
     first, second = np.nonzero(pair)
     if len(first) > 4 * len(sets):
@@ -289,7 +299,9 @@ def similar_documents(
     root names the class, class_id is the smallest doc_id in it, n_links the number of other documents at
     least `THRESHOLD` similar.
     """
-    sets = work.store(document_sets(documents), "sets")
+    runs = runs_for(recall, depth=depth)
+    count = coordinates_for(runs, depth)
+    sets = work.store(document_sets(documents, count), "sets")
     with_set = sets.where("n > 0")
     classes = work.store(with_set.groupBy("key1", "key2").agg(
         F.min(F.struct("uid", "doc_id", "th")).alias("first"), F.count(F.lit(1)).alias("copies"), F.first("sketch").alias("sketch"),
@@ -297,8 +309,8 @@ def similar_documents(
     member = with_set.select("uid", "doc_id", "th", "key1", "key2").join(classes.select("key1", "key2", "rep", "copies").hint("merge"), ["key1", "key2"])
     member = work.store(member.drop("key1", "key2"), "members")
     reps = classes.select("rep", "doc_id", "th", "copies", "sketch")
-    buckets = work.store(_buckets(reps, work, runs_for(recall, depth=depth), depth, small), "buckets")
-    found = _compare(buckets, reps, documents, work, small)
+    buckets = work.store(_buckets(reps, work, runs, depth, small), "buckets")
+    found = _compare(buckets, reps, documents, work, small, count)
     weights = found.where("rep = other").groupBy("rep").agg(F.sum("links").alias("more"))
     roots = components(found.where("rep <> other").select(F.col("rep").alias("a"), F.col("other").alias("b")), work)
     placed = (

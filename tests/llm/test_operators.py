@@ -200,6 +200,27 @@ def test_links_and_classes_equal_brute_force(spark, work, texts, small):
     assert got == {i: (root(i), links[i]) for i in sets}
 
 
+def test_recall_at_the_threshold_on_the_deepest_level(spark, work):
+    rng, pairs = np.random.default_rng(12), 16_000
+    rows = []
+    for k in range(pairs):
+        h = rng.integers(0, 2**64, 100, dtype=np.uint64)  # 80 shared of 100: similarity 0.8
+        rows += [(2 * k, chosen_path.sketch(h[:90]).view(np.int32).tolist()), (2 * k + 1, chosen_path.sketch(h[10:]).view(np.int32).tolist())]
+    sets = work.store(spark.createDataFrame(rows, "rep bigint, sketch array<int>"), "pairs")
+    met = chosen_path._buckets(sets, work, chosen_path.runs_for(), chosen_path.DEPTH, 1)
+    found = met.groupBy("bucket", F.expr("rep div 2").alias("pair")).count().where("count = 2").select("pair").distinct().count()
+    # 1.4 missed pairs are expected, 13 when runs share coordinates
+    assert found >= pairs - 6
+
+
+def test_no_coordinate_is_used_twice():
+    for recall, depth in ((0.9999, 3), (0.999999, 3), (0.9999, 5)):
+        runs = chosen_path.runs_for(recall, depth=depth)
+        order = chosen_path.coordinate_order(runs, depth)
+        assert order.shape == (runs, depth) and len(np.unique(order)) == runs * depth
+        assert order.max() < chosen_path.coordinates_for(runs, depth)
+
+
 # 6 ------------------------------------------------------------------------------------
 
 def test_license_places_and_suppression(spark):
