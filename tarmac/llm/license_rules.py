@@ -3,7 +3,7 @@
 Only DataFrame functions are used.  A text is reduced to its lower-case words joined by
 single spaces, so every rule is a regular expression over whole words.  One pass asks for
 any keyword at all; a text with one is then tried against the rules of the keywords it
-holds, and only those.  Detections are intervals of words.  Sorted by start, longest
+holds, and only those.  Whatever a rule fits holds one of its keywords.  Detections are intervals of words.  Sorted by start, longest
 first, a detection is suppressed when an earlier one of the same or a higher priority
 contains it.
 
@@ -33,7 +33,8 @@ BASE = {"under the mit license": "mit", "apache license version 2": "apache-2",
 @dataclass(frozen=True)
 class Rule:
     label: str
-    keyword: str
+    #: Words of which every match holds one; one that ends in * stands for all words that begin so.
+    keywords: tuple[str, ...]
     pattern: str
     priority: int
     confidence: float
@@ -68,7 +69,7 @@ COMMONS = [
     ("cc-by-nc-sa", "by nc sa", "attribution non ?commercial share ?alike"),
     ("cc-by-nc-nd", "by nc nd", "attribution non ?commercial no ?deriv(?:ative)?s?(?: works)?"),
 ]
-#: label, keyword, text of a grant.
+#: label, keywords, text of a grant.
 GRANTS = [
     ("mit", "permission", "permission is hereby granted free of charge to any person obtaining a copy"),
     ("isc", "permission", "permission to use copy modify and or distribute this software for any purpose with or without fee"),
@@ -80,40 +81,46 @@ GRANTS = [
     ("public-domain", "cc0", "cc0(?: 1 0)?(?: universal)?"),
     ("proprietary", "reserved", "all rights reserved"), ("proprietary", "confidential", "confidential and proprietary"),
     ("boost", "boost", "distributed under the boost software license"),
-    ("no-ai", "training", "(?:may|must) not be used (?:for|to) (?:train|training)(?: of)? (?:ai|machine learning)"),
+    ("no-ai", "train training", "(?:may|must) not be used (?:for|to) (?:train|training)(?: of)? (?:ai|machine learning)"),
 ]
 HINTS = [
-    ("license-notice", "licensed", "licensed under"), ("license-notice", "license", "(?:this|the) (?:work|software|file) is (?:licensed|released) under"),
+    ("license-notice", "licensed", "licensed under"), ("license-notice", "licensed released", "(?:this|the) (?:work|software|file) is (?:licensed|released) under"),
     ("license-notice", "released", "released under (?:the|a) [^ ]+ licen[cs]e"), ("license-notice", "spdx", "spdx license identifier"),
     ("copyright", "copyright", "copyright(?: c)? (?:19|20)[0-9]{2}"),
 ]
 
 
 def rules() -> list[Rule]:
-    out = [Rule(label, phrase.split()[2 if label == "mit" else 0], phrase, 3, 1.0) for phrase, label in BASE.items()]
+    out = [Rule(label, (phrase.split()[2 if label == "mit" else 0],), phrase, 3, 1.0) for phrase, label in BASE.items()]
     for label, keyword, name, versions in NAMED:
+        # a name of one word may be glued to its version: gplv3, lgplv2 1
+        glued = bool(versions) and name.split("(?:")[0] == keyword
+        keys = (f"{keyword}*" if glued else keyword,)
         for v in versions:
             tagged = f"{label}-{v.replace(' 0', '').replace(' ', '.')}"
             number = rf"(?:v ?|version ?|ver ?)?{v}"
+            named = rf"(?:{name}(?: licen[cs]e)? |{keyword}){number}" if glued else rf"{name}(?: licen[cs]e)? {number}"
+            full = rf"{name} licen[cs]e (?:v|version) {v}"
+            full = rf"(?:{full}|{keyword}{number}(?: licen[cs]e)?)" if glued else full
             out += [
-                Rule(tagged, keyword, rf"{name}(?: licen[cs]e)? {number}", 3, 0.9),
-                Rule(tagged, keyword, rf"{name} licen[cs]e (?:v|version) {v}(?: or (?:any )?later(?: version)?)", 3, 0.95),
-                Rule(tagged, keyword, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)? {number}", 3, 1.0),
+                Rule(tagged, keys, named, 3, 0.9),
+                Rule(tagged, keys, rf"{full}(?: or (?:any )?later(?: version)?)", 3, 0.95),
+                Rule(tagged, keys, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{named}", 3, 1.0),
             ]
         out += [
-            Rule(label, keyword, rf"{name} licen[cs]e", 2, 0.7),
-            Rule(label, keyword, rf"licen[cs]e(?: is)? {name}", 2, 0.6),
-            Rule(label, keyword, rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?", 2, 0.9),
+            Rule(label, (keyword,), rf"{name} licen[cs]e", 2, 0.7),
+            Rule(label, (keyword,), rf"licen[cs]e(?: is)? {name}", 2, 0.6),
+            Rule(label, (keyword,), rf"(?:licensed|released|distributed|available) under (?:the )?(?:terms of (?:the )?)?{name}(?: licen[cs]e)?", 2, 0.9),
         ]
     for label, letters, spelled in COMMONS:
         for v in ("1 0", "2 0", "2 5", "3 0", "4 0"):
             out += [
-                Rule(f"{label}-{v.replace(' ', '.')}", "cc", rf"cc {letters} {v}", 3, 1.0),
-                Rule(f"{label}-{v.replace(' ', '.')}", "creative", rf"creative commons {spelled} {v}", 3, 1.0),
+                Rule(f"{label}-{v.replace(' ', '.')}", ("cc",), rf"cc {letters} {v}", 3, 1.0),
+                Rule(f"{label}-{v.replace(' ', '.')}", ("creative",), rf"creative commons {spelled} {v}", 3, 1.0),
             ]
-        out += [Rule(label, "cc", rf"cc {letters}", 2, 0.8), Rule(label, "creative", rf"creative commons {spelled}", 2, 0.8)]
-    out += [Rule(label, keyword, text, 3, 0.9) for label, keyword, text in GRANTS]
-    out += [Rule(label, keyword, text, 1, 0.3) for label, keyword, text in HINTS]
+        out += [Rule(label, ("cc",), rf"cc {letters}", 2, 0.8), Rule(label, ("creative",), rf"creative commons {spelled}", 2, 0.8)]
+    out += [Rule(label, tuple(keys.split()), text, 3, 0.9) for label, keys, text in GRANTS]
+    out += [Rule(label, tuple(keys.split()), text, 1, 0.3) for label, keys, text in HINTS]
     return out
 
 
@@ -144,17 +151,23 @@ def _places(padded: Column, pattern: Column | str, fields: list[Column]) -> Colu
 PLACES = "array<struct<start:int,neg_end:int,neg_priority:int,confidence:double,label:string>>"
 
 
+def sought(keyword: str) -> str:
+    """A keyword as it stands in a text whose words each have one space on either side."""
+    return f" {keyword[:-1]}" if keyword.endswith("*") else f" {keyword} "
+
+
 def detections(padded: Column) -> Column:
-    """All places of all rules whose keyword the text holds, in suppression order."""
+    """All places of all rules of which the text holds a keyword, in suppression order."""
     table = rules()
-    keywords = sorted({r.keyword for r in table})
+    sets = sorted({r.keywords for r in table})
     rule = lambda r: F.struct(
         F.lit(_whole(r.pattern)).alias("pattern"), F.lit(-r.priority).alias("neg_priority"),
         F.lit(r.confidence).alias("confidence"), F.lit(r.label).alias("label"))
     by_keyword = F.array(*[
-        F.struct(F.lit(f" {k} ").alias("keyword"), F.array(*[rule(r) for r in table if r.keyword == k]).alias("rules"))
-        for k in keywords])
-    held = F.flatten(F.transform(F.filter(by_keyword, lambda k: F.contains(padded, k["keyword"])), lambda k: k["rules"]))
+        F.struct(F.array(*[F.lit(sought(k)) for k in keys]).alias("keywords"), F.array(*[rule(r) for r in table if r.keywords == keys]).alias("rules"))
+        for keys in sets])
+    holds = lambda k: F.exists(k["keywords"], lambda word: F.contains(padded, word))
+    held = F.flatten(F.transform(F.filter(by_keyword, holds), lambda k: k["rules"]))
     found = F.transform(held, lambda r: _places(padded, r["pattern"], [r["neg_priority"], r["confidence"], r["label"]]))
     return F.sort_array(F.flatten(found))
 
@@ -180,7 +193,7 @@ def suppress(places: Column) -> Column:
 
 def scan_licenses(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, base places, labels, score and the kept detections, per row of `documents`."""
-    any_keyword = " (?:" + "|".join(sorted({r.keyword for r in rules()})) + ") "
+    any_keyword = " (?:" + "|".join(sorted({sought(k)[1:] for r in rules() for k in r.keywords})) + ")"
     padded = documents.select("doc_id", words(F.col("text")).alias("w")).select(
         "doc_id", F.size("w").cast("bigint").alias("n_words"),
         F.concat(F.lit(" "), F.array_join("w", " "), F.lit(" ")).alias("padded"))

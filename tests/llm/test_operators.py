@@ -5,6 +5,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from re import _constants, _parser
 
 import numpy as np
 import pytest
@@ -236,6 +237,57 @@ def test_license_places_and_suppression(spark):
     assert all(0 <= r.score <= 1 for r in got.values())
 
 
+def spelled(parts, every):
+    """Texts of a parsed pattern: all of them, or such that each choice is taken in one of them."""
+    out = [""]
+    for kind, arg in parts:
+        if kind is _constants.LITERAL:
+            own = [chr(arg)]
+        elif kind is _constants.NOT_LITERAL:
+            own = ["x"]
+        elif kind is _constants.IN:
+            own = [chr(v[0] if k is _constants.RANGE else v) for k, v in arg]
+        elif kind is _constants.SUBPATTERN:
+            own = spelled(arg[3], every)
+        elif kind is _constants.BRANCH:
+            own = [t for p in arg[1] for t in spelled(p, every)]
+        elif kind is _constants.MAX_REPEAT:
+            low, high, inner = arg
+            own = [t * low for t in spelled(inner, every)] if low else ["", *spelled(inner, every)]
+        else:
+            raise AssertionError(kind)
+        out = [a + b for a in out for b in own] if every else [out[0] + b for b in own] + [a + own[0] for a in out[1:]]
+    return out
+
+
+def test_keywords_let_every_alternative_through():
+    table = license_rules.rules()
+    assert len(table) == 371
+    for r in table:
+        keys = [license_rules.sought(k) for k in r.keywords]
+        for text in spelled(_parser.parse(r.pattern), True):
+            assert re.fullmatch(r.pattern, text) and any(k in f" {text} " for k in keys), (r, text)
+
+
+def test_every_alternative_of_every_rule_is_detected(spark):
+    rows = [(t, r.label, -r.priority, r.confidence) for r in license_rules.rules() for t in spelled(_parser.parse(r.pattern), False)]
+    padded = F.concat(F.lit(" "), F.col("text"), F.lit(" "))
+    frame = spark.createDataFrame(rows, "text string, label string, p int, c double").withColumn("last", F.size(F.split("text", " ")) - 1)
+    same = lambda d: (d["start"] == 0) & (-d["neg_end"] == F.col("last")) & (d["label"] == F.col("label")) & (d["neg_priority"] == F.col("p")) & (d["confidence"] == F.col("c"))
+    lost = frame.where(~F.exists(license_rules.detections(padded), same)).select("text", "label").collect()
+    assert not lost
+
+
+def test_texts_whose_only_keyword_is_of_one_alternative(spark):
+    rows = [
+        (1, "It must not be used to train AI."), (2, "This work is released under terms"), (3, "GPLv3"), (4, "LGPLv2.1+"), (5, "an AGPLv3 server"),
+        (6, "released under the GPLv2 or later"), (7, "MPL2.0"), (8, "gplusv3"), (9, "gplv4")]
+    got = {r.doc_id: (r.labels, r.score) for r in license_rules.scan_licenses(frame(spark, rows)).collect()}
+    assert got == {
+        1: ("no-ai", 0.9), 2: ("license-notice", 0.3), 3: ("gpl-3", 0.9), 4: ("lgpl-2.1", 0.9), 5: ("agpl-3", 0.9), 6: ("gpl-2", 1.0),
+        7: ("mpl-2", 0.9), 8: ("", 0.0), 9: ("", 0.0)}
+
+
 def test_suppression_equals_brute_force(spark):
     rng = random.Random(6)
     places = sorted((a, -(a + rng.randint(0, 6)), -rng.randint(1, 3), 0.5, f"l{k}") for k, a in enumerate(rng.choices(range(30), k=60)))
