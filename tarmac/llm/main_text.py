@@ -12,7 +12,10 @@ element and notices, sidebars, forms and comments are put in.  The model is smal
 to the tasks; every page is judged as a whole.
 
 Defined results: null and empty html have empty text; text outside elements belongs to the
-page's root; a tag cut off at the end of the page is dropped; `<br>` is white space;
+page's root; a tag cut off at the end of the page is dropped; `<br>` is white space; a script,
+style, textarea or title without an end goes on to the end of the page; another element without
+text of the page (svg, iframe, option ...) whose end is missing ends where the next block
+starts or an element around it ends, at once when it is written `<svg/>`;
 unfinished character references without a known name stay as they are; repeated rows give
 repeated rows; an empty table gives no rows.
 """
@@ -22,6 +25,7 @@ from __future__ import annotations
 import html as entities
 import random
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,7 +41,9 @@ TOKEN = re.compile(
 ATTRIBUTE = re.compile(r"([a-zA-Z][\w-]*)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))")
 #: Elements by how a page is put together.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title svg iframe select option".split())
+RAW = set("script style textarea title".split())
+HIDDEN = set("noscript template svg iframe select option".split())
+ENDS = {tag: re.compile(f"</{tag}[^>]*>", re.I) for tag in RAW}
 BLOCK = set(
     "html body main article section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table tbody thead tfoot tr td th caption "
     "blockquote pre figure figcaption header footer nav aside form fieldset address details summary center".split())
@@ -72,10 +78,51 @@ class Node:
             parent.children.append(self)
 
 
+def tokens(page: str) -> tuple[list[re.Match], dict[int, int]]:
+    """Tags and pieces of text without what is inside RAW elements, and of each HIDDEN element the token of its end.
+
+    An end belongs to an element when nothing around the element has ended before.
+    """
+    out, ends, at = [], {}, 0
+    open_: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    while m := TOKEN.match(page, at):
+        at = m.end()
+        out.append(m)
+        if m[2] is None:
+            continue
+        tag, closed = m[2].lower(), m[3].endswith("/")
+        if m[1]:
+            if count[tag]:
+                while True:
+                    name, start = open_.pop()
+                    count[name] -= 1
+                    if name == tag:
+                        break
+                if tag in HIDDEN:
+                    ends[start] = len(out) - 1
+        elif tag in RAW:
+            if not count["svg"]:
+                end = ENDS[tag].search(page, at)
+                at = end.end() if end else len(page)
+            elif not closed:
+                # inside an svg such an element may be closed in itself, and ends with the svg
+                end, last = ENDS[tag].search(page, at), page.find("</svg", at)
+                if end and end.start() < (last if last >= 0 else len(page)):
+                    at = end.end()
+        elif tag not in VOID and not (closed and tag == "svg"):
+            open_.append((tag, len(out) - 1))
+            count[tag] += 1
+    return out, ends
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """Block elements in page order, the root first, and the blocks of text with their element."""
     root = Node("html", None, "")
-    nodes, blocks, open_, inside, now, links, at = [root], [], ["html"], [root], [], 0, 0
+    nodes, blocks, open_, inside, now, links = [root], [], ["html"], [root], [], 0
+    found, ends = tokens(page)
+    #: Where a HIDDEN element without an end stands among the open ones, and the token up to which all is skipped.
+    mute, skip = 0, -1
 
     def close() -> None:
         if now:
@@ -87,18 +134,23 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             now.clear()
 
     def pop() -> None:
-        nonlocal links
+        nonlocal links, mute
         tag = open_.pop()
+        if len(open_) == mute:
+            mute = 0
         if tag in BLOCK:
             close()
             inside.pop()
         elif tag == "a":
             links -= 1
 
-    while m := TOKEN.match(page, at):
-        at = m.end()
+    for k, m in enumerate(found):
+        if k <= skip:
+            continue
         tag = m[2]
         if tag is None:
+            if mute:
+                continue
             piece = m[0]
             if piece[0] != "<" or piece == "<":
                 piece = entities.unescape(piece) if "&" in piece else piece
@@ -116,8 +168,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 close()
             continue
         if tag in RAW:
-            end = re.compile(f"</{tag}[^>]*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            continue
+        if tag in HIDDEN:
+            if k in ends:
+                skip = ends[k]
+            elif not mute and not m[3].endswith("/"):
+                mute = len(open_)
+                open_.append(tag)
             continue
         if tag in VOID:
             now.append(" ")
@@ -125,16 +182,18 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if tag in ("html", "head"):
             continue
         if tag in BLOCK:
+            while mute:
+                pop()
             close()
             stop = {"li": ("ul", "ol"), "dt": ("dl",), "dd": ("dl",), "td": ("tr", "table"), "th": ("tr", "table"), "tr": ("table",)}.get(tag)
             same = {"td": ("td", "th"), "th": ("td", "th"), "dt": ("dt", "dd"), "dd": ("dt", "dd")}.get(tag, (tag,))
             if stop:
-                for k in range(len(open_) - 1, 0, -1):
-                    if open_[k] in same:
-                        while len(open_) > k:
+                for i in range(len(open_) - 1, 0, -1):
+                    if open_[i] in same:
+                        while len(open_) > i:
                             pop()
                         break
-                    if open_[k] in stop:
+                    if open_[i] in stop:
                         break
             if "p" in open_[1:]:
                 while open_[-1] != "p":
@@ -145,9 +204,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             inside.append(node)
         elif tag == "a":
             links += 1
-            inside[-1].tags += 1
+            inside[-1].tags += not mute
         else:
-            inside[-1].tags += 1
+            inside[-1].tags += not mute
         if not m[3].endswith("/") or tag in BLOCK:
             open_.append(tag)
         elif tag == "a":
@@ -170,7 +229,9 @@ def features(nodes: list[Node]) -> np.ndarray:
             p.tags += n.tags + 1
             p.stops += n.stops
     total, rows, above = max(nodes[0].text, 1), [], {}
-    place = {}
+    place, tags_of = {}, {}
+    for n in nodes:
+        tags_of.setdefault(id(n.parent), Counter())[n.tag] += 1
     for k, n in enumerate(nodes):
         good = sum(t in GOOD for t in n.tokens)
         bad = sum(t in BAD for t in n.tokens)
@@ -182,7 +243,7 @@ def features(nodes: list[Node]) -> np.ndarray:
         place[id(n.parent)] = i + 1
         left = peers[i - 1].text if i else 0
         right = peers[i + 1].text if i + 1 < len(peers) else 0
-        alike = sum(c.tag == n.tag for c in peers) if len(peers) < 64 else len(peers)
+        alike = tags_of[id(n.parent)][n.tag]
         rows.append((
             kind, n.depth, np.log1p(n.text), n.text / (n.tags + 1), n.links / max(n.text, 1), n.text / total, np.log1p(n.own),
             n.stops / (n.text + 1), n.tags, good, bad, g, b, n.tag in DROPPED, d, k / len(nodes), len(peers), i, alike,

@@ -121,6 +121,31 @@ def test_held_out_pages_and_odd_html(spark, sf_dir):
     assert sorted(r.n_chars for r in got.collect())[:2] == [0, 0]
 
 
+@pytest.mark.parametrize("inner, kept", [
+    ('<p>one</p><svg class="x"/><p>two</p>', "one two"), ("<p>one <svg/> more</p><p>two</p>", "one more two"),
+    ("<p>one</p><datalist><option>A<option value=b>B</datalist>two<p>three</p>", "one two three"),
+    ("<p>one</p><iframe src=x><p>two</p>", "one two"), ("<p>one</p><select><option>A<option>B</option></select><p>two</p>", "one two"),
+    ("<p>one</p><svg><text>A</text><p>two</p>", "one two"), ("<noscript>A<p>one</p>", "one"), ("<noscript>A<p>B</p></noscript><p>one</p>", "one"),
+    ("<svg><svg><title/></svg>A</svg><p>one</p>", "one"), ("<svg><title>A</svg><p>one</p><svg><title>B</title></svg>", "one"),
+    ("<p>one<b><option>A</b> two</p>", "one two"), ("<p>one</p><template/><p>two</p>", "one two"), ("<p>one</p><textarea>A", "one")])
+def test_elements_without_an_end_leave_the_article(inner, kept):
+    tail = "" if "<textarea>" in inner else "</article><svg></svg><div>after<option>C</option></div>"
+    nodes, blocks = main_text.parse(f"<body><article>{inner}{tail}")
+    article = next(n for n in nodes if n.tag == "article")
+
+    def below(n):
+        return n is not None and (n is article or below(n.parent))
+
+    assert " ".join(t for n, t in blocks if below(n)) == kept
+    assert not tail or "after" in [t for n, t in blocks if not below(n)]
+
+
+def test_siblings_alike_are_counted_at_any_number():
+    for count in (10, 70):
+        nodes, _ = main_text.parse("<div>" + "<p>a</p>" * count + "<h2>b</h2></div>")
+        assert main_text.features(nodes)[2:, 18].tolist() == [count] * count + [1]
+
+
 def test_decoding_is_consistent():
     nodes, _ = main_text.parse("<div><section><p>a</p></section></div>" * 3)
     odds = np.random.default_rng(2).normal(0, 3, len(nodes))
