@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tarmac.llm import chat_format, chosen_path, license_rules, line_dedup, main_text, packing, positional_index, robust_outliers, url_rules, warc
+from tarmac.llm import (
+    chat_format, chosen_path, collocations, cuckoo_index, license_rules, line_dedup, main_text, merkle_manifest, packing,
+    positional_index, robust_outliers, url_rules, warc)
 from tarmac.llm.common import Workspace
 from tarmac.session import settle
 
@@ -223,3 +225,103 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"), F.sha2(lines, 256).alias("turns_sha256"),
         F.length("loss_text").cast("bigint").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
         F.length("formatted").cast("bigint").alias("formatted_chars"))
+
+
+COPIES_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+  row_number() OVER (PARTITION BY coalesce(text, '') ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+
+@query("op11_cuckoo_index", COPIES_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo_index.exact_duplicates(table(spark, sf_dir, "documents"), Workspace(spark, "exact"))
+
+
+PHRASE_SQL = r"""
+WITH d AS (
+  SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+), pieces AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces
+), g AS (
+  SELECT lang, k, array_to_string(w[s : s + k - 1], ' ') AS phrase
+  FROM w, (SELECT unnest(range(1, 5)) AS k), LATERAL (SELECT unnest(range(1, len(w) - k + 2)) AS s)
+), f AS MATERIALIZED (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL
+), total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang
+), c AS MATERIALIZED (SELECT lang, k, phrase, string_split(phrase, ' ') AS w, a FROM f WHERE k > 1 AND a >= 30
+), cut AS (
+  SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, (2000000::HUGEINT * c.a) // (x.a + y.a) AS score
+  FROM c, LATERAL (SELECT unnest(range(1, c.k)) AS j)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1 : j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[j + 1 : c.k], ' ')
+), lowest AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1
+), inner_ AS (
+  SELECT lang, array_to_string(w[s : s + m - 1], ' ') AS phrase, max(a) AS most
+  FROM c, LATERAL (SELECT unnest(range(2, k)) AS m), LATERAL (SELECT unnest(range(1, k - m + 2)) AS s) GROUP BY ALL
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM lowest LEFT JOIN inner_ USING (lang, phrase) JOIN total USING (lang)
+WHERE most IS NULL OR 100 * most::HUGEINT < 80 * a::HUGEINT
+QUALIFY rank <= 2000
+"""
+
+
+@query("op12_collocations", PHRASE_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"), Workspace(spark, "phrases"))
+
+
+#: Node by node upwards, then every leaf along its siblings.
+MERKLE_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT row_number() OVER () AS uid, doc_id, lang, coalesce('=' || lang, '') AS tree,
+    coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-') || coalesce(strlen(lang) || ':' || lang, '-') AS head,
+    n_chars, coalesce(strlen(text) || ':' || text, '-') AS tail FROM documents
+), leaf AS (
+  SELECT *, sha256(head || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') || tail) AS h,
+    sha256(head || coalesce(strlen((n_chars + 1)::VARCHAR) || ':' || (n_chars + 1), '-') || tail) AS other FROM d
+), placed AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM leaf
+), nodes AS (
+  SELECT tree, 0 AS lv, idx, h, n FROM placed
+  UNION ALL
+  SELECT tree, lv + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM nodes WHERE n > 1 GROUP BY tree, lv, idx // 2, n
+), langs AS MATERIALIZED (
+  SELECT tree, h AS subroot, lv AS height, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM nodes WHERE n = 1
+), tops AS (
+  SELECT 0 AS lv, idx, subroot AS h, n FROM langs
+  UNION ALL
+  SELECT lv + 1, idx // 2, sha256(string_agg(h, '' ORDER BY idx)), (n + 1) // 2 FROM tops WHERE n > 1 GROUP BY lv, idx // 2, n
+), top AS (SELECT h AS root, lv AS height FROM tops WHERE n = 1
+), steps AS MATERIALIZED (
+  SELECT uid, s::BIGINT AS step, i & 1 AS side, o.h AS sib
+  FROM (SELECT uid, tree, unnest(range(height)) AS s, p.idx >> s AS i FROM placed p JOIN langs USING (tree)) q
+  LEFT JOIN nodes o ON o.tree = q.tree AND o.lv = s AND o.idx = xor(i, 1)
+  UNION ALL
+  SELECT uid, q.height + s, i & 1, o.h
+  FROM (SELECT uid, langs.height, unnest(range(top.height)) AS s, langs.idx >> s AS i FROM placed JOIN langs USING (tree), top) q
+  LEFT JOIN tops o ON o.lv = s AND o.idx = xor(i, 1)
+), proof AS (SELECT uid, sha256(coalesce(string_agg(sib, '' ORDER BY step), '')) AS proof_sha256 FROM steps GROUP BY uid
+), crc AS (
+  SELECT doc_id, xor(list_reduce(
+    list_concat([4294967295::BIGINT], list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)),
+    lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295) AS crc
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+), walk AS (
+  SELECT uid, 0::BIGINT AS step, CASE WHEN crc % 7 = 0 AND n_chars IS NOT NULL THEN other ELSE h END AS h
+  FROM placed LEFT JOIN crc USING (doc_id)
+  UNION ALL
+  SELECT uid, step + 1, CASE WHEN sib IS NULL THEN sha256(w.h) WHEN side = 1 THEN sha256(sib || w.h) ELSE sha256(w.h || sib) END
+  FROM walk w JOIN steps USING (uid, step)
+), folded AS (SELECT uid, arg_max(h, step) AS folded_root FROM walk GROUP BY uid)
+SELECT doc_id, h AS leaf, subroot, root, coalesce(proof_sha256, sha256('')) AS proof_sha256, folded_root, folded_root = root AS verified
+FROM placed JOIN langs USING (tree) JOIN folded USING (uid) LEFT JOIN proof USING (uid), top
+"""
+
+
+@query("op13_merkle_manifest", MERKLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"), Workspace(spark, "manifest"), tampered)
