@@ -8,10 +8,12 @@ from pyspark.sql.types import StructType
 from tarmac.catalog.checksql import text, with_events
 from tarmac.catalog.registry import query, rounded
 from tarmac.functions.times import time_text
+from tarmac.plans.messages import stream_to_text_and_table
 from tarmac.session import scratch
+from tarmac.sinks.windowed_text import read_windows, write_windows
 from tarmac.sources import sample
-from tarmac.sources.streams import read_files
-from tarmac.streaming import messages, replay, runs, windows
+from tarmac.sources.streams import Arrivals, read_files
+from tarmac.streaming import lateness, messages, panes, replay, runs, windows
 
 
 def _events(spark, sf, streaming: bool) -> DataFrame:
@@ -28,8 +30,9 @@ def _events(spark, sf, streaming: bool) -> DataFrame:
     )
 
 
-def _closable_events(spark, sf):
-    return runs.closable(_events(spark, sf, True), _events(spark, sf, False))
+def _arriving(spark, sf, days: int = 20, arrival=None) -> Arrivals:
+    """The same rows in blocks of days, each one drain of the stream."""
+    return Arrivals(_events(spark, sf, False), days, arrival)
 
 
 BASE_SQL = """
@@ -71,43 +74,87 @@ FROM base {{where}} GROUP BY 1, 2"""
 @query("minute_counts_stream", MINUTE_SQL.format(where=""))
 def minute_counts_stream(spark, sf):
     """Every window once, when the watermark has passed it."""
-    stream, close = _closable_events(spark, sf)
-    out = runs.collected(spark, messages.window_counts(stream, ["event"]), "minute-counts", close=close)
+    rows = _arriving(spark, sf)
+    out = runs.collected(spark, messages.window_counts(rows.stream, ["event"]), "minute-counts", arrivals=rows)
     return out.select(time_text("window_start").alias("window_start"), "event", "n")
 
 
 @query("early_counts_stream", MINUTE_SQL.format(where=""))
 def early_counts_stream(spark, sf):
     """Open windows too: the newest update of each."""
-    path = scratch(spark, "early-counts")
-    counts = messages.window_counts(_events(spark, sf, True), ["event"])
-    runs.each_batch(counts, runs.batch_folder(f"{path}/out"), f"{path}/state", mode="update")
-    updates = spark.read.parquet(f"{path}/out")
+    path, rows = scratch(spark, "early-counts"), _arriving(spark, sf, 8)
+    counts = messages.window_counts(rows.stream, ["event"])
+    for _ in rows:
+        runs.each_batch(counts, runs.batch_folder(f"{path}/out"), f"{path}/state", mode="update")
+    updates = spark.read.parquet(f"{path}/out").where("event IS NOT NULL")
     final = messages.latest(updates, ["window_start", "event"])
     return final.select(time_text("window_start").alias("window_start"), "event", "n")
 
 
-@query("pane_counts_stream", MINUTE_SQL.format(where=""))
+#: Panes of an hour, so that a window is fired more than once.
+@query("pane_counts_stream", f"""WITH {BASE_SQL}
+SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, event, count(*) AS n, 0::BIGINT AS n_untimely
+FROM base GROUP BY 1, 2""")
 def pane_counts_stream(spark, sf):
-    """Panes that forget earlier firings add up to the whole."""
-    path = scratch(spark, "panes")
-    write = runs.batch_folder(f"{path}/out")
-    runs.each_batch(
-        _events(spark, sf, True),
-        lambda batch, number: write(messages.pane_counts(batch, ["event"]), number),
-        f"{path}/state",
-    )
-    panes = spark.read.parquet(f"{path}/out")
-    return panes.groupBy(time_text("window_start").alias("window_start"), "event").agg(F.sum("n").alias("n"))
+    """Firings of every window add up to it; none comes before it is due."""
+    path, rows, delay = scratch(spark, "panes"), _arriving(spark, sf, 8), 1.0
+    with panes.timers(spark):
+        out = panes.fired(rows.stream, ["event"], width="1 hour", delay=delay, poll=0.5)
+        query = runs.append_files(out, f"{path}/out", f"{path}/state", drain=False)
+        try:
+            for _ in rows:
+                runs.until_quiet(query)
+        finally:
+            query.stop()
+    found = spark.read.schema(out.schema).parquet(f"{path}/out").where("event IS NOT NULL")
+    early = F.col("fired_at") - F.col("first_at") < int(1000 * delay)
+    untimely = ((F.col("kind") == "early") & early) | ((F.col("kind") == "final") & (F.unix_millis("window_start") + 3_600_000 > F.col("watermark")))
+    return found.where("kind <> 'late'").groupBy(time_text("window_start").alias("window_start"), "event").agg(
+        F.sum("n").alias("n"), F.count_if(untimely).alias("n_untimely"))
+
+
+#: Every tenth event arrives nine days after it happened; a block of eight days is one batch.
+LATE_SQL = f"""WITH {BASE_SQL}, arriving AS (
+  SELECT *, (epoch_us(ts) // 1000000 + CASE WHEN event_id % 10 = 0 THEN 777600 ELSE 0 END) // 691200 AS block FROM base
+), high AS (SELECT block, max(max(ts)) OVER (ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS high FROM arriving GROUP BY block)
+SELECT event_id, event, coalesce(date_trunc('minute', ts) + INTERVAL 1 MINUTE <= high, false) AS late FROM arriving JOIN high USING (block)"""
+
+
+@query("late_rows_stream", LATE_SQL)
+def late_rows_stream(spark, sf):
+    """On-time and late rows, each in an output of its own, are all rows."""
+    delayed = F.when(F.col("event_id") % 10 == 0, F.col("ts") + F.expr("INTERVAL 9 DAYS")).otherwise(F.col("ts"))
+    path, rows = scratch(spark, "late"), _arriving(spark, sf, 8, delayed)
+    for _ in rows:
+        lateness.split_late(rows.stream, path, f"{path}/state")
+    found = lateness.split_rows(spark, rows.stream, path)
+    return found.where("event_id IS NOT NULL").select("event_id", "event", "late")
 
 
 @query("windowed_files_stream", f"""WITH {BASE_SQL}
-SELECT strftime(date_trunc('day', ts), '%Y%m%d%H%M') AS window_start, count(*) AS n FROM base GROUP BY 1""")
+SELECT strftime(date_trunc('minute', ts), '%Y%m%d%H%M') AS window_start, event || ',' || dest || ',' || event_id AS line FROM base""")
 def windowed_files_stream(spark, sf):
-    """Messages written to one folder per window."""
-    stream = messages.windowed(_events(spark, sf, True), width="1 day")
-    out = runs.collected(spark, stream, "windowed", ["window_start"])
-    return out.groupBy("window_start").agg(F.count(F.lit(1)).alias("n"))
+    """Messages in one text file per minute."""
+    path, rows = scratch(spark, "windowed"), _arriving(spark, sf, 8)
+    lines = rows.stream.select("ts", F.concat_ws(",", "event", "dest", "event_id").alias("line"))
+    for _ in rows:
+        write_windows(lines, f"{path}/out", path)
+    return read_windows(spark, f"{path}/out")
+
+
+@query("text_and_table_stream", f"""WITH {BASE_SQL}
+SELECT event || ',' || dest AS message, count(*) AS n_lines, count(*) AS n_rows, count(DISTINCT date_trunc('minute', ts)) AS n_files FROM base GROUP BY 1""")
+def text_and_table_stream(spark, sf):
+    """The job with both outputs: stamped lines by minute, stamped rows in a table."""
+    path, rows = scratch(spark, "text-and-table"), _arriving(spark, sf)
+    stream = rows.stream.select("ts", F.concat_ws(",", "event", "dest").alias("message"))
+    for _ in rows:
+        stream_to_text_and_table(stream, f"{path}/out", f"{path}/state")
+    message = F.regexp_extract("line", r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d (.*)$", 1)
+    lines = read_windows(spark, f"{path}/out/text").groupBy(message.alias("message")).agg(
+        F.count(F.lit(1)).alias("n_lines"), F.count_distinct("window_start").alias("n_files"))
+    table = spark.read.parquet(f"{path}/out/table").groupBy("message").agg(F.count("timestamp").alias("n_rows"))
+    return lines.join(table, "message").select("message", "n_lines", "n_rows", "n_files")
 
 
 SLIDING_SQL = f"""WITH {BASE_SQL}
@@ -120,8 +167,8 @@ FROM (SELECT dest, CASE WHEN event = 'arrived' THEN arr_delay END AS v, unnest(r
 
 @query("sliding_stream", SLIDING_SQL.format(where=""))
 def sliding_stream(spark, sf):
-    stream, close = _closable_events(spark, sf)
-    out = runs.collected(spark, windows.sliding_averages(stream, "dest", _arrival()), "sliding", close=close)
+    rows = _arriving(spark, sf)
+    out = runs.collected(spark, windows.sliding_averages(rows.stream, "dest", _arrival()), "sliding", arrivals=rows)
     return rounded(
         out.select(time_text("window_start").alias("window_start"), "dest", "mean", "n"), "mean")
 
@@ -132,8 +179,9 @@ FROM base e LEFT JOIN base a
   ON a.dest = e.dest AND a.event = 'arrived' AND a.slot BETWEEN e.slot - 3300 AND e.slot
 GROUP BY e.event_id, e.dest""")
 def cogroup_stream(spark, sf):
-    stream, close = _closable_events(spark, sf)
-    out = windows.enrich(spark, stream, _events(spark, sf, False), "dest", _arrival(), close=close)
+    """Every event once, with the mean of its closed window, from the stream alone."""
+    rows = _arriving(spark, sf)
+    out = runs.collected(spark, windows.enriched(rows.stream, "dest", _arrival()), "cogroup", arrivals=rows)
     return rounded(out.select("event_id", "dest", "mean"), "mean")
 
 

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from tarmac.streaming.messages import stamp, windowed
+from tarmac.sinks.windowed_text import write_windows
+from tarmac.streaming.messages import stamp, stamp_lines
 from tarmac.streaming.runs import append_files
 
 
 def stream_to_text_and_table(messages: DataFrame, out: str, state: str, drain: bool = True) -> list:
-    """`messages` has (ts, message).  Two queries read the same stream: the texts go to
-    one folder per minute, the stamped rows to a table."""
-    texts = windowed(messages.withWatermark("ts", "0 seconds")).select(
-        F.col("message").alias("value"), "window_start"
-    )
+    """`messages` has (ts, message).  Two queries read the same stream: stamped lines go to
+    one text file per minute, stamped rows to a table."""
     return [
-        append_files(texts, f"{out}/text", f"{state}/text", ["window_start"], drain),
+        write_windows(stamp_lines(messages, "ts").withColumnRenamed("value", "line"), f"{out}/text", f"{state}/text", drain=drain),
         append_files(stamp(messages), f"{out}/table", f"{state}/table", drain=drain),
     ]

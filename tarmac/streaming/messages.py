@@ -12,14 +12,9 @@ def stamp(messages: DataFrame) -> DataFrame:
     return messages.select(F.current_timestamp().cast("timestamp_ntz").alias("timestamp"), "message")
 
 
-def stamp_lines(messages: DataFrame) -> DataFrame:
-    """The same as one text line per message."""
-    return messages.select(stamped("message").alias("value"))
-
-
-def windowed(messages: DataFrame, time: str = "ts", width: str = "1 minute") -> DataFrame:
-    """Messages with the start of their fixed window, for output by window."""
-    return messages.withColumn("window_start", F.date_format(F.window(time, width)["start"], "yyyyMMddHHmm"))
+def stamp_lines(messages: DataFrame, *more: str) -> DataFrame:
+    """The same as one text line per message, with `more` columns of it."""
+    return messages.select(*more, stamped("message").alias("value"))
 
 
 def window_counts(
@@ -38,15 +33,6 @@ def window_counts(
     )
 
 
-def pane_counts(batch: DataFrame, keys: list[str], time: str = "ts", width: str = "1 minute") -> DataFrame:
-    """Counts of one micro-batch alone: a pane that forgets what was fired before."""
-    return (
-        batch.groupBy(F.window(time, width).alias("w"), *keys)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .select(F.col("w.start").alias("window_start"), *keys, "n")
-    )
-
-
 def latest(updates: DataFrame, keys: list[str]) -> DataFrame:
     """Final state of an update-mode output: the newest batch of each key."""
     newest = F.max_by(F.col("n"), F.col("batch")).alias("n")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import time
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from tarmac.session import scratch
 
@@ -35,29 +36,6 @@ def each_batch(
     return _start(writer, drain)
 
 
-def closable(
-    stream: DataFrame, events: DataFrame, time: str = "ts", after: str = "2 hours",
-) -> tuple[DataFrame, Callable[[], None]]:
-    """The stream of a bounded drain, and a function that adds one row later than all `events`.
-
-    Called once the stream is drained, it lets a second drain close the windows still
-    open.  The other columns of that row are null and its own windows stay open, so it
-    never comes out of a windowed aggregation.  `after` must exceed the longest window.
-    """
-    path = scratch(stream.sparkSession, "closing")
-    empty = stream.sparkSession.createDataFrame([], stream.schema)
-    empty.write.parquet(path)
-
-    def close() -> None:
-        last = events.agg(F.max(time).alias("last"))
-        last.select(*[
-            (F.col("last") + F.expr(f"INTERVAL {after}") if f.name == time else F.lit(None)).cast(f.dataType).alias(f.name)
-            for f in stream.schema
-        ]).write.mode("append").parquet(path)
-
-    return stream.unionByName(stream.sparkSession.readStream.schema(empty.schema).parquet(path)), close
-
-
 def _start(writer, drain: bool):
     if not drain:
         return writer.start()
@@ -76,13 +54,27 @@ def batch_folder(path: str) -> Callable[[DataFrame, int], None]:
 
 
 def collected(
-    spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None,
-    close: Callable[[], None] | None = None,
+    spark: SparkSession, stream: DataFrame, label: str, partition_by: list[str] | None = None, arrivals: Iterable | None = None,
 ) -> DataFrame:
-    """Drain an append-mode stream into the shared folder and read the result; `close` is that of `closable`."""
+    """Drain an append-mode stream into the shared folder and read the result; with `arrivals`, once after each step."""
     path = scratch(spark, label)
-    append_files(stream, f"{path}/out", f"{path}/state", partition_by)
-    if close:
-        close()
+    for _ in arrivals or (None,):
         append_files(stream, f"{path}/out", f"{path}/state", partition_by)
     return spark.read.schema(stream.schema).parquet(f"{path}/out")
+
+
+def until_quiet(query, seconds: float = 3600) -> None:
+    """Wait until a running query with timers has read all there is and holds no state."""
+    end, seen = time.monotonic() + seconds, 0
+    while time.monotonic() < end:
+        if query.exception():
+            raise query.exception()
+        last = query.lastProgress
+        if last and not last["numInputRows"] and not any(o["numRowsTotal"] for o in last["stateOperators"]):
+            return
+        # A query that never had a row runs no batch.
+        seen = seen + 1 if not last and query.status["message"] == "Waiting for data to arrive" else 0
+        if seen > 20:
+            return
+        time.sleep(0.1)
+    raise TimeoutError("the stream did not come to rest")

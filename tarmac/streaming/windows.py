@@ -2,22 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-from tarmac.functions.times import epoch, slot
-from tarmac.session import scratch
-from tarmac.streaming.runs import batch_folder, each_batch
+from pyspark.sql import Column, DataFrame, functions as F
 
 SLOT = "5 minutes"
 
 
-def sliding_averages(
+def window_means(
     events: DataFrame, key: str, value: Column, time: str = "ts", span: str = "1 hour", step: str = SLOT,
     lateness: str = "0 seconds",
 ) -> DataFrame:
-    """Mean per key over windows of `span` that move by `step`, as windows close.
+    """Mean per key over windows `w` of `span` that move by `step`, as windows close.
 
     A first aggregation sums each step, a second one adds the sums of a window.
     State is one row per key and step and one per key and window, and no event is
@@ -32,53 +26,43 @@ def sliding_averages(
         slots.withColumn("slot_time", F.window_time("w"))
         .groupBy(F.window("slot_time", span, step).alias("w"), key)
         .agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
-        .select(
-            F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key,
-            F.try_divide("total", "n").alias("mean"), "n",
-        )
+        .select("w", key, F.try_divide("total", "n").alias("mean"), "n")
     )
 
 
-def enrich(
-    spark: SparkSession, stream: DataFrame, stored_events: DataFrame, key: str, value: Column,
-    time: str = "ts", step_seconds: int = 300, name: str = "mean",
-    close: Callable[[], None] | None = None,
+def sliding_averages(
+    events: DataFrame, key: str, value: Column, time: str = "ts", span: str = "1 hour", step: str = SLOT,
+    lateness: str = "0 seconds",
 ) -> DataFrame:
-    """Attach the trailing mean of their window to events once the window has closed.
+    """Mean per key over windows of `span` that move by `step`: window_start, window_end, key, mean, n."""
+    means = window_means(events, key, value, time, span, step, lateness)
+    return means.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), key, "mean", "n")
 
-    Collecting the events of a window in state would hold a busy key in one task.
-    The stream carries sums only.  Each batch of closed windows is joined back to
-    the stored events of the time it covers, a plain join that adaptive execution
-    can split.  Only events of closed windows come out, each exactly once.  An event
-    must be in the stored table before its window closes.  A stream without closed
-    windows gives an empty result.  With `close`, that of `runs.closable`, the windows
-    open at the end are closed too.
-    """
-    path = scratch(spark, "enriched")
-    store_means = batch_folder(f"{path}/means")
-    write = batch_folder(f"{path}/out")
-    columns = stored_events.columns
 
-    def join_closed(closed: DataFrame, number: int) -> None:
-        # Stored first: both uses below then read a table instead of running the
-        # stateful plan twice.
-        store_means(closed, number)
-        means = spark.read.schema(closed.schema).parquet(f"{path}/means/batch={number}").select(
-            key, (epoch("window_end") - step_seconds).alias("slot"), F.coalesce("mean", F.lit(0.0)).alias(name)
-        )
-        span = means.agg(F.min("slot").alias("low"), F.max("slot").alias("high")).first()
-        if span["low"] is None:
-            return
-        low, high = F.timestamp_seconds(F.lit(span["low"])), F.timestamp_seconds(F.lit(span["high"] + step_seconds))
-        due = stored_events.where((F.col(time) >= low) & (F.col(time) < high))
-        due = due.withColumn("slot", slot(epoch(time), step_seconds))
-        write(due.join(means, [key, "slot"]).select(*columns, name), number)
+def enriched(
+    events: DataFrame, key: str, value: Column, time: str = "ts", span: str = "1 hour", step: str = SLOT,
+    lateness: str = "0 seconds", name: str = "mean", salts: int = 8,
+) -> DataFrame:
+    """Events with the trailing mean of their key, as a stream of its own: no stored copy is read.
 
-    means = sliding_averages(stream, key, value, time)
-    each_batch(means, join_closed, f"{path}/state")
-    if close:
-        close()
-        each_batch(means, join_closed, f"{path}/state")
-    schema = stored_events.withColumn(name, F.lit(0.0)).schema
-    spark.createDataFrame([], schema).write.parquet(f"{path}/out/empty")
-    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(f"{path}/out")
+    The stream is joined with its own sliding averages on the key and the time of the
+    last step both belong to.  That time carries the watermark on both sides, so an
+    event stays in state until the window that ends with its step has closed, comes
+    out once, and is forgotten.  A key's events of one step are dealt over `salts`
+    parts, so a busy key does not lie in one task; its means, one row per step, are
+    repeated for them.  Events that come after their window has closed are dropped.
+    """
+    means = window_means(events, key, value, time, span, step, lateness).select(
+        F.struct(key).alias("mean_key"), F.window_time("w").alias("mean_step"), F.coalesce("mean", F.lit(0.0)).alias(name),
+        F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("mean_salt"),
+    )
+    # Packed, so that the step is the only time column of this side too.
+    held = events.withWatermark(time, lateness).withColumn("event_window", F.window(time, step)).select(
+        F.struct(*events.columns).alias("event"), F.window_time("event_window").alias("event_step"), F.struct(key).alias("event_key"),
+        F.pmod(F.xxhash64(*events.columns), F.lit(salts)).cast("int").alias("event_salt"),
+    )
+    same = (
+        (F.col("event_key") == F.col("mean_key")) & (F.col("event_step") == F.col("mean_step"))
+        & (F.col("event_salt") == F.col("mean_salt"))
+    )
+    return held.join(means, same).select("event.*", name)
