@@ -30,8 +30,9 @@ class Watermark:
 
 def is_late(watermark, time: str, width: str) -> Column:
     """True where the window of a row had ended at `watermark`, and for rows without a time."""
-    end = F.window(F.col(time).cast("timestamp"), width)["end"]
-    return F.coalesce(end <= F.lit(watermark).cast("timestamp"), F.col(time).isNull())
+    # A window over a null time would take the row away.
+    end = F.window(F.coalesce(F.col(time).cast("timestamp"), F.timestamp_seconds(F.lit(0))), width)["end"]
+    return F.col(time).isNull() | F.coalesce(end <= F.lit(watermark).cast("timestamp"), F.lit(False))
 
 
 def split_late(stream: DataFrame, path: str, state: str, time: str = "ts", width: str = "1 minute", drain: bool = True):

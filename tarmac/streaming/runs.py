@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterable
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,17 +65,18 @@ def collected(
 
 
 def until_quiet(query, seconds: float = 3600) -> None:
-    """Wait until a running query with timers has read all there is and holds no state."""
-    end, seen = time.monotonic() + seconds, 0
+    """Wait until a running query with timers has read what is there now and holds no state.
+
+    Such a query runs batch after batch, and only those count that begin after this
+    call: the one under way may have listed the files before the last of them came.
+    """
+    end, now = time.monotonic() + seconds, datetime.now(timezone.utc)
     while time.monotonic() < end:
         if query.exception():
             raise query.exception()
         last = query.lastProgress
-        if last and not last["numInputRows"] and not any(o["numRowsTotal"] for o in last["stateOperators"]):
-            return
-        # A query that never had a row runs no batch.
-        seen = seen + 1 if not last and query.status["message"] == "Waiting for data to arrive" else 0
-        if seen > 20:
-            return
+        if last and datetime.fromisoformat(last["timestamp"]) > now and not last["numInputRows"]:
+            if not any(o["numRowsTotal"] for o in last["stateOperators"]):
+                return
         time.sleep(0.1)
     raise TimeoutError("the stream did not come to rest")
