@@ -8,7 +8,7 @@ from tarmac.catalog.checksql import text, with_averages, with_events, with_raw
 from tarmac.catalog.flightlog import PAYLOAD_SQL
 from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
 from tarmac.functions import predicates as P
-from tarmac.models import evaluate, features, logistic, network, scoring
+from tarmac.models import evaluate, features, logistic, network, newton, scoring
 from tarmac.operators import sampling, training
 from tarmac.operators.lookups import join_days
 from tarmac.session import measured, scratch
@@ -83,6 +83,49 @@ def feature_ablation(spark, sf):
     return logistic.ablation(train.where("NOT holdout"), train.where("holdout"))
 
 
+INPUTS = ("dep_delay", "taxi_out", "distance")
+#: At the maximum of the likelihood, fitted and observed labels agree in the mean of each input that the fit has.
+FITTED_SQL = """, train AS (
+  SELECT dep_delay, taxi_out, distance, (arr_delay < 15)::BIGINT::DOUBLE AS label
+  FROM raw JOIN (SELECT *, ('0x' || substr(md5(fl_date::VARCHAR), 1, 8))::UBIGINT / 4294967296.0 < 0.2 AS holdout FROM days) USING (fl_date)
+  WHERE is_train_day AND cancelled = '0.00' AND diverted = '0.00' AND dep_delay IS NOT NULL AND arr_delay IS NOT NULL AND {where}
+), means AS (
+  SELECT count(*) AS n, avg(label) AS constant, avg(label * dep_delay) AS dep_delay, avg(label * taxi_out) AS taxi_out, avg(label * distance) AS distance FROM train
+), inputs AS (UNPIVOT means ON constant, dep_delay, taxi_out, distance INTO NAME input VALUE m)
+"""
+TRAIN_SQL = FITTED_SQL.format(where="NOT holdout"), FITTED_SQL.format(where="TRUE")
+
+
+def _fitted_means(scored: DataFrame, tolerance: float, *by: str) -> DataFrame:
+    """Per input: the observed mean, and whether the fitted one is as near to it as `tolerance` of the mean size of the input."""
+    x = {"constant": F.lit(1.0), **{f: F.col(f) for f in INPUTS}}
+    shape = lambda v: F.struct(
+        F.avg(F.col("label") * v).alias("m"), F.avg(F.col("probability") * v).alias("p"), F.avg(F.abs(v)).alias("size"))
+    one = scored.groupBy(*by).agg(F.count(F.lit(1)).alias("n"), *[shape(v).alias(f) for f, v in x.items()])
+    long = one.unpivot([*by, "n"], list(x), "input", "s")
+    return long.select(*by, "input", "n", F.round("s.m", 6).alias("label_mean"), (F.abs(F.col("s.p") - F.col("s.m")) <= tolerance * F.col("s.size")).alias("fitted"))
+
+
+@query("logistic_fitted_means", with_raw("").rstrip() + f"""{TRAIN_SQL[1]}
+SELECT input, n, round(m, 6) AS label_mean, TRUE AS fitted FROM inputs""")
+def logistic_fitted_means(spark, sf):
+    train, _ = _parts(spark, sf)
+    return _fitted_means(logistic.evaluated_rows(logistic.fit(train, INPUTS), train), 1e-3)
+
+
+@query("ablation_fitted_means", with_raw("").rstrip() + f"""{TRAIN_SQL[0]}
+SELECT dropped, input, n, round(m, 6) AS label_mean, TRUE AS fitted
+FROM inputs, (SELECT unnest(['none', 'dep_delay', 'taxi_out', 'distance']) AS dropped) WHERE dropped <> input""")
+def ablation_fitted_means(spark, sf):
+    """Fits on all inputs and without each, made by common Newton steps."""
+    train, _ = _parts(spark, sf)
+    rows = logistic.labelled(train.where("NOT holdout"))
+    dropped = ["none", *INPUTS]
+    fits = newton.fit_all(rows, [[f for f in INPUTS if f != d] for d in dropped])
+    name = F.array(*map(F.lit, dropped))[F.col("fit")]
+    return _fitted_means(newton.scored(rows, fits).withColumn("dropped", name), 1e-8, "dropped").where("dropped <> input")
+
+
 FORMULA_SQL = "greatest(0, least(1, 0.5 - dep_delay / 100))"
 
 

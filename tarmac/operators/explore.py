@@ -6,11 +6,13 @@ however many flights there are.  Quantiles and sweeps start from such tables.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tarmac.functions.features import LATE_MINUTES, fraction, left_on_time, likely_delay
+from tarmac.session import measured
 
 MIN_FLIGHTS = 370
 # Flight-count thresholds of the outlier sweep.
@@ -88,12 +90,33 @@ def sketch_quantiles(
     )
 
 
+def ranged_quantiles(rows: DataFrame, value: str, fractions: Sequence[float]) -> DataFrame:
+    """Exact quantiles of a column with any number of distinct values: position and value.
+
+    Counts per value are sorted into ranges, and the total of each range says which one
+    holds a rank.  Only those ranges are summed up value by value, each in its own task;
+    the driver sees one total per range.
+    """
+    tally = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    placed = measured(
+        tally.repartitionByRange("value").sortWithinPartitions("value").withColumn("part", F.spark_partition_id()), "ranges")
+    totals = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.sum("n").alias("n")).collect()}
+    size, ends, before = sum(totals.values()), {}, 0
+    for part in sorted(totals):
+        ends[part] = (before, before := before + totals[part])
+    wanted = []
+    for position, q in enumerate(fractions):
+        rank = max(1, math.ceil(size * float(q)))
+        wanted += [(position, part, rank - low) for part, (low, high) in ends.items() if low < rank <= high]
+    upto = Window.partitionBy("part").orderBy("value")
+    running = placed.where(F.col("part").isin([w[1] for w in wanted])).withColumn("rank", F.sum("n").over(upto))
+    asked = rows.sparkSession.createDataFrame(wanted, "position int, part int, least bigint")
+    return running.join(asked, "part").where("rank >= least").groupBy("position").agg(F.min("value").alias("value"))
+
+
 def ventiles(flights: DataFrame, column: str = "dep_delay", parts: int = 20) -> DataFrame:
     """Least value, the inner cut points and the greatest value, one row each."""
-    cuts = [i / parts for i in range(parts + 1)]
-    return discrete_quantiles(flights, column, cuts).select(
-        F.posexplode("quantiles").alias("position", "value")
-    )
+    return ranged_quantiles(flights, column, [i / parts for i in range(parts + 1)])
 
 
 def conditional_quantile(

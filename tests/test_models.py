@@ -2,11 +2,12 @@
 
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from tarmac.catalog import models as catalog
-from tarmac.models import evaluate, features, logistic, network
+from tarmac.models import evaluate, features, logistic, network, newton
 from tarmac.sources import sample
 
 
@@ -34,7 +35,7 @@ def test_threshold_decides_the_class(flights):
 
 
 def test_ablation_names_every_feature(flights):
-    rows = {r["dropped"]: r for r in logistic.ablation(flights, flights, max_iter=20).collect()}
+    rows = {r["dropped"]: r for r in logistic.ablation(flights, flights).collect()}
     assert set(rows) == {"none", *features.BASE_FEATURES}
     assert rows["dep_delay"]["rmse_all"] > rows["none"]["rmse_all"]
 
@@ -78,3 +79,31 @@ def test_trials_cover_the_search_space():
     assert {t["layout"] for t in trials} == set(network.LAYOUTS)
     assert {t["location"] for t in trials} == set(range(5, 11))
     assert (trials[0]["block_size"], trials[-1]["block_size"]) == (16, 512)
+
+
+def test_common_newton_steps_equal_single_fits(spark):
+    """Labels that no plane parts, with unknown values; every set against a fit of its own."""
+    rng = np.random.default_rng(5)
+    x = np.column_stack([rng.normal(20, 15, 4000), rng.normal(15, 6, 4000), rng.gamma(2, 500, 4000)])
+    y = (rng.random(4000) < 1 / (1 + np.exp(x[:, 0] / 12 + x[:, 1] / 20 - 2 - x[:, 2] / 2000))).astype(float)
+    rows = [(float(b), *(float(v) if rng.random() > 0.02 else None for v in a)) for a, b in zip(x, y)]
+    df = spark.createDataFrame(rows, "label double, a double, b double, c double").cache()
+    sets = [["a", "b", "c"], ["b", "c"], ["a", "c"], ["a"]]
+    for names, got in zip(sets, newton.fit_all(df, sets)):
+        known = np.array([[1.0, *(dict(zip("abc", r[1:]))[f] for f in names)] for r in rows if all(dict(zip("abc", r[1:]))[f] is not None for f in names)])
+        label = np.array([r[0] for r in rows if all(dict(zip("abc", r[1:]))[f] is not None for f in names)])
+        beta = np.zeros(len(names) + 1)
+        for _ in range(40):
+            p = 1 / (1 + np.exp(-known @ beta))
+            beta += np.linalg.solve(known.T * (p * (1 - p)) @ known, known.T @ (label - p))
+        assert np.allclose([got.intercept, *got.coefficients], beta, rtol=1e-6, atol=1e-9)
+    scored = newton.scored(df, newton.fit_all(df, sets))
+    assert scored.where("fit = 3").count() == sum(r[1] is not None for r in rows)
+
+
+def test_newton_on_labels_that_can_be_parted(spark):
+    df = spark.createDataFrame([(float(i < 40), float(i)) for i in range(100)], "label double, a double")
+    fit = newton.fit_all(df, [["a"], []])
+    p = {r.a: r.probability for r in newton.scored(df, fit[:1]).collect()}
+    assert p[39.0] > 0.99 > 0.01 > p[40.0]
+    assert abs(fit[1].intercept - math.log(0.4 / 0.6)) < 1e-8

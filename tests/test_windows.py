@@ -123,6 +123,19 @@ def test_discrete_quantiles(spark, seed):
         assert r["quantiles"] == want and r["n"] == len(values)
 
 
+def test_ranged_quantiles(spark):
+    rng = random.Random(9)
+    values = [rng.gauss(0, 100) for _ in range(3000)] + [7.5] * 2000
+    df = spark.createDataFrame([(v,) for v in [*values, None]], "v double").repartition(7)
+    qs = [i / 20 for i in range(21)] + [0.333]
+    got = {r["position"]: r["value"] for r in explore.ranged_quantiles(df, "v", qs).collect()}
+    values.sort()
+    assert got == {i: values[max(1, -int(-(len(values) * q) // 1)) - 1] for i, q in enumerate(qs)}
+    plan = explore.ventiles(df, "v")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan
+    assert explore.ranged_quantiles(df.where("false"), "v", qs).count() == 0
+
+
 def test_bad_mode(events):
     with pytest.raises(ValueError):
         windows.with_arrival_average(events, mean_over="day")
