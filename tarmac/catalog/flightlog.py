@@ -96,13 +96,15 @@ def next_month(spark, sf):
     return files.next_month(paths)
 
 
-def zip_partitions(lines: DataFrame) -> DataFrame:
-    """Each partition of lines packed as an archive of its own: test input for the reader."""
+def zip_partitions(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """Each partition of lines packed as an archive of its own, after `header`: test input for the reader."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         buffer = io.BytesIO()
         with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
             with archive.open("flights.csv", "w") as member:
+                if header:
+                    member.write((header + "\n").encode())
                 for batch in batches:
                     member.write("".join(v + "\n" for v in batch["value"]).encode())
         yield pd.DataFrame({"path": ["flights.zip"], "content": [buffer.getvalue()]})

@@ -170,6 +170,26 @@ def ingested_month(spark, sf):
         n_rows(), F.sum("dep_delay").alias("dep_delay"), F.sum("distance").alias("distance"))
 
 
+@query("monthly_ingest", with_raw("""
+SELECT strftime(fl_date, '%Y%m') AS month, op_unique_carrier, count(*) AS n, sum(dep_delay) AS dep_delay, sum(distance) AS distance
+FROM raw GROUP BY 1, 2"""))
+def monthly_ingest(spark, sf):
+    """Zip files of every month, opened, cleaned, verified and published one month after another."""
+    from tarmac.catalog.flightlog import raw_lines, zip_partitions
+
+    path = scratch(spark, "monthly")
+    lines = raw_lines(spark, sf).withColumn("day", F.to_date(F.split("value", ",")[0]))
+    months = [r[0] for r in lines.select(F.date_format("day", "yyyyMM")).distinct().collect()]
+    for month in months:
+        packed = zip_partitions(lines.where(F.date_format("day", "yyyyMM") == month), schemas.RAW_HEADER)
+        # Bytes as they are, one archive a file.
+        packed.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/delivered/{month}")
+    ingest.ingest_months(spark, f"{path}/delivered", f"{path}/raw", min(months), max(months))
+    stored = F.regexp_extract(F.col("_metadata.file_path"), r"/raw/(\d{6})\.csv/", 1).alias("month")
+    return ingest.read_ingested(spark, f"{path}/raw").groupBy(stored, "op_unique_carrier").agg(
+        n_rows(), F.sum("dep_delay").alias("dep_delay"), F.sum("distance").alias("distance"))
+
+
 @query("array_map_struct_demo", with_raw("""
 SELECT origin AS word, 'checked' AS added, 2::BIGINT AS n_fields, origin AS name, origin AS key1, origin AS key3,
   count(*) AS n FROM raw GROUP BY origin"""))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac.functions.predicates import contains, has_coordinates
@@ -16,23 +18,45 @@ from tarmac.sources import files
 
 
 def ingest_month(spark: SparkSession, archive: str, raw_dir: str, month: str) -> str:
-    """Unpack, clean and verify a monthly archive, and store it as `<yyyymm>.csv`.
+    """Unpack, clean and verify a month's archive, or folder of archives, and store it as `<yyyymm>.csv`.
 
-    Raises `UnexpectedFormat` or `DataUnavailable` before anything is written.
+    Raises `UnexpectedFormat` or `DataUnavailable` before anything is written.  The month
+    is written beside the others under a name that readers skip, and then renamed: readers
+    see it whole or not at all.  A month that is there already is replaced.
     """
     lines = files.clean_lines(files.archive_lines(files.read_archives(spark, archive)))
     stored = measured(lines, "ingest")
     files.verify_files(stored)
-    target = f"{raw_dir}/{month}.csv"
-    body = stored.where(F.col("line_no") > 0).select("value")
-    (
-        body.write.mode("overwrite").option("lineSep", "\n").text(target)
-    )
+    staged, target = f"{raw_dir}/_staged-{uuid.uuid4().hex}", f"{raw_dir}/{month}.csv"
+    stored.where(F.col("line_no") > 0).select("value").write.option("lineSep", "\n").text(staged)
+    publish(spark, staged, target)
     return target
 
 
-def month_to_ingest(spark: SparkSession, raw_dir: str) -> str:
-    return files.next_month(files.list_files(spark, raw_dir)).first()["next"]
+def publish(spark: SparkSession, staged: str, target: str) -> None:
+    """Put a finished folder in the place of `target`."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    store = path(target).getFileSystem(spark._jsc.hadoopConfiguration())
+    store.delete(path(target), True)
+    if not store.rename(path(staged), path(target)):
+        raise OSError(f"cannot put {target} in place")
+
+
+def month_to_ingest(spark: SparkSession, raw_dir: str, first: str | None = None) -> str | None:
+    """The month after the latest that is stored; `first` where there is none."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(raw_dir)
+    if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return first
+    return files.next_month(files.list_files(spark, raw_dir)).first()["next"] or first
+
+
+def ingest_months(spark: SparkSession, delivered: str, raw_dir: str, first: str, last: str) -> list[str]:
+    """Ingest `delivered`/<yyyymm> month by month, from where the stored months end up to `last`."""
+    done = []
+    while (month := month_to_ingest(spark, raw_dir, first)) <= last:
+        ingest_month(spark, f"{delivered}/{month}", raw_dir, month)
+        done.append(month)
+    return done
 
 
 def read_ingested(spark: SparkSession, raw_dir: str) -> DataFrame:

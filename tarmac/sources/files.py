@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import io
 import json
 import zipfile
 from collections.abc import Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tarmac import schemas
@@ -120,34 +119,48 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.format("binaryFile").load(path).select("path", "content")
 
 
-def archive_lines(archives: DataFrame) -> DataFrame:
-    """Lines of the first member of each archive, as (path, line_no, value).
+#: Bytes of text that an archive reader hands on at once.
+BLOCK = 1 << 20
 
-    The member is decompressed as a stream, so a task holds one archive and one
-    batch of lines, not the expanded text.
+
+def archive_blocks(archives: DataFrame, size: int = BLOCK) -> DataFrame:
+    """Text of the first member of each archive in blocks that end at a line break: path, first (number of its first line), text.
+
+    The member is decompressed as a stream: a task holds one archive and one block, which
+    is longer than `size` only where a line is.
     """
-    batch_lines = 20000
 
-    def expand(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for path, content in zip(batch["path"], batch["content"]):
-                with zipfile.ZipFile(io.BytesIO(content)) as archive:
-                    with archive.open(archive.namelist()[0]) as member:
-                        lines: list[str] = []
-                        first = 0
-                        for line in io.TextIOWrapper(member, encoding="utf-8", newline="\n"):
-                            lines.append(line)
-                            if len(lines) == batch_lines:
-                                yield _numbered(path, first, lines)
-                                first, lines = first + len(lines), []
-                        if lines:
-                            yield _numbered(path, first, lines)
-
-    return archives.mapInPandas(expand, "path string, line_no bigint, value string")
-
-
-def _numbered(path: str, first: int, lines: list[str]) -> pd.DataFrame:
-    return pd.DataFrame({"path": path, "line_no": range(first, first + len(lines)), "value": lines})
+            for path, content in zip(batch["path"].to_pylist(), batch["content"]):
+                with zipfile.ZipFile(pa.BufferReader(content.as_buffer())) as archive, archive.open(archive.namelist()[0]) as member:
+                    for first, block in _blocks(member, size):
+                        yield pa.RecordBatch.from_arrays(
+                            [pa.array([path]), pa.array([first], pa.int64()), pa.array([block], pa.binary())], names=["path", "first", "text"])
+
+    return archives.select("path", "content").mapInArrow(expand, "path string, first bigint, text binary")
+
+
+def _blocks(member, size: int) -> Iterator[tuple[int, bytes]]:
+    rest, first = [], 0
+    while data := member.read(size):
+        cut = data.rfind(b"\n") + 1
+        if not cut:
+            rest.append(data)
+            continue
+        block = b"".join([*rest, data[:cut]])
+        yield first, block
+        first += block.count(b"\n")
+        rest = [data[cut:]] if cut < len(data) else []
+    if rest:
+        yield first, b"".join(rest)
+
+
+def archive_lines(archives: DataFrame, size: int = BLOCK) -> DataFrame:
+    """Lines of the first member of each archive, as (path, line_no, value); blocks are split into lines in the JVM."""
+    text = F.regexp_replace(F.decode("text", "UTF-8"), r"\n\z", "")
+    lines = archive_blocks(archives, size).select("path", "first", F.posexplode(F.split(text, "\n", -1)).alias("at", "value"))
+    return lines.select("path", (F.col("first") + F.col("at")).alias("line_no"), "value")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """File sources and sinks on small files."""
 
 import gzip
+import os
 import zipfile
 
 import pytest
@@ -46,6 +47,29 @@ def test_long_archive_is_read_whole(spark, tmp_path):
     assert lines.agg(F.max("line_no"), F.count_distinct("line_no")).first()[:] == (45000, 45001)
 
 
+@pytest.mark.parametrize("size", [7, 64, 1 << 20])
+def test_blocks_end_at_line_breaks(spark, tmp_path, size):
+    lines = ["a", "", "ü" * 40, "b\r", "x" * 200, "end"]
+    path = archive(tmp_path, f"blocks{size}.zip", ["\n".join(lines)])
+    blocks = files.archive_blocks(files.read_archives(spark, path), size).orderBy("first").collect()
+    assert b"".join(bytes(r["text"]) for r in blocks).decode() == "\n".join(lines)
+    assert all(bytes(r["text"]).endswith(b"\n") for r in blocks[:-1])
+    got = files.archive_lines(files.read_archives(spark, path), size).orderBy("line_no").collect()
+    assert [(r["line_no"], r["value"]) for r in got] == list(enumerate(lines))
+
+
+def test_months_are_taken_in_turn_and_replaced_whole(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    for month in ("201801", "201802"):
+        (tmp_path / "in" / month).mkdir(parents=True)
+        archive(tmp_path / "in" / month, "m.zip", [schemas.RAW_HEADER + ",\n"] + [quoted(BODY)] * 2)
+    assert ingest.ingest_months(spark, str(tmp_path / "in"), raw, "201801", "201802") == ["201801", "201802"]
+    assert ingest.ingest_months(spark, str(tmp_path / "in"), raw, "201801", "201802") == []
+    ingest.ingest_month(spark, str(tmp_path / "in" / "201802"), raw, "201802")
+    assert ingest.read_ingested(spark, raw).count() == 4
+    assert sorted(n for n in os.listdir(raw) if not n.startswith(".")) == ["201801.csv", "201802.csv"]
+
+
 @pytest.mark.parametrize("lines, error", [
     (["A,B\n", BODY + "\n"], files.UnexpectedFormat),
     ([schemas.RAW_HEADER + "\n"], files.DataUnavailable),
