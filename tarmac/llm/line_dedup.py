@@ -23,7 +23,8 @@ the corpus, so they are merge joins at any size, and adaptive execution splits h
 Defined results: null text stays null; lines without words stay where they are, but a
 text of which no line of words is left becomes empty; line IDs are 128-bit hashes; rows
 with one doc_id are ordered by a hash of their texts, and rows that agree in both are the
-same document, not copies; a null doc_id comes first; further columns are kept.
+same document, not copies; a null doc_id comes first; further columns are kept, whatever
+their names, except n_lines and n_removed, which are replaced; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -124,16 +125,18 @@ def repeated_lines(lines: DataFrame, work: Workspace, min_words: int = MIN_WORDS
 
 
 def dedup_lines(documents: DataFrame, work: Workspace, min_words: int = MIN_WORDS) -> DataFrame:
-    """`documents` with later copies deleted from `text`, and n_lines and n_removed."""
+    """`documents` with later copies deleted from `text`, and n_lines and n_removed, which replace columns of these names."""
     lines = work.store(line_table(documents), "lines")
-    gone = work.store(repeated_lines(lines, work, min_words), "gone").withColumnsRenamed({"doc_id": "_doc", "th": "_th"})
-    keyed = documents.withColumn("_own", F.xxhash64("text"))
-    joined = keyed.join(gone.hint("merge"), keyed["doc_id"].eqNullSafe(gone["_doc"]) & (keyed["_own"] == gone["_th"]), "left")
-    parts = F.split("text", "\n", -1)
-    left = F.filter(parts, lambda s, p: ~F.array_contains("gone", p))
+    gone = work.store(repeated_lines(lines, work, min_words), "gone")
+    # The row is packed, so that its columns may have any names.
+    keyed = documents.select(F.struct(*[documents[c] for c in documents.columns]).alias("row"), F.xxhash64("text").alias("own"))
+    joined = keyed.join(gone.hint("merge"), F.col("row.doc_id").eqNullSafe(gone["doc_id"]) & (keyed["own"] == gone["th"]), "left")
+    text = F.col("row")["text"]
+    parts = F.split(text, "\n", -1)
+    left = F.filter(parts, lambda s, p: ~F.array_contains(gone["gone"], p))
     words_left = F.exists(left, lambda s: s.rlike(RUN))
+    shorter = F.when(gone["gone"].isNull(), text).when(words_left, F.array_join(left, "\n")).otherwise("")
     return joined.select(
-        *[F.when(F.col("gone").isNull(), keyed["text"]).when(words_left, F.array_join(left, "\n")).otherwise("").alias("text")
-          if c == "text" else keyed[c] for c in documents.columns],
+        *[(shorter if c == "text" else F.col("row")[c]).alias(c) for c in documents.columns if c not in ("n_lines", "n_removed")],
         F.coalesce(F.size(parts), F.lit(0)).cast("bigint").alias("n_lines"),
-        F.coalesce(F.size("gone"), F.lit(0)).cast("bigint").alias("n_removed"))
+        F.coalesce(F.size(gone["gone"]), F.lit(0)).cast("bigint").alias("n_removed"))

@@ -10,7 +10,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tarmac.llm import collocations, cuckoo_index, merkle_manifest
+import corpus_pipeline
+from tarmac.llm import collocations, cuckoo_index, line_dedup, merkle_manifest
 from tarmac.llm.common import LOWER, Workspace
 
 DOCS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -219,3 +220,31 @@ def test_manifest_of_one_document_and_of_none(spark, work):
     one = merkle_manifest.manifest(frame(spark, [(5, "x", "en", "s", 1)]), work).first()
     assert one.leaf == one.subroot == one.root == one.folded_root and one.verified and one.proof_sha256 == digest("")
     assert merkle_manifest.manifest(frame(spark, []), work).count() == 0
+
+
+# Names that operators use for themselves ---------------------------------------------
+
+def test_line_dedup_keeps_columns_of_any_name(spark, work):
+    run = "\n".join(f"line {k} has some words of its own" for k in range(9))
+    rows = [(1, run, "a", 5), (2, "first\n" + run, "b", 6), (2, "first\n" + run, "b", 6), (None, None, "c", 7)]
+    names = ["gone", "_own", "_doc", "own", "row", "doc", "th", "n_removed"]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, n_lines bigint").withColumns({n: F.lit(n) for n in names})
+    out = line_dedup.dedup_lines(docs, work)
+    assert len(out.columns) == len(set(out.columns)) == len(docs.columns)
+    got = sorted(((r.doc_id, r.text, r.n_lines, r.n_removed) for r in out.collect()), key=str)
+    assert got == sorted([(1, run, 9, 0), (2, "first", 10, 9), (2, "first", 10, 9), (None, None, 0, 0)], key=str)
+    assert all(r[n] == n for r in out.collect() for n in names if n != "n_removed")
+    assert line_dedup.dedup_lines(docs.where("false"), work).count() == 0
+
+
+def test_pipeline_stages_keep_columns_of_any_name(spark, sf_dir, work):
+    names = ["_th", "_key", "th", "own_th", "key_th", "id", "gone", "own"]
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumns({n: F.lit(n) for n in names})
+    seen = docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        assert stage(spark, docs.where("false"), sf_dir).count() == 0
+        out = work.store(stage(spark, docs.unionByName(docs.limit(2)), sf_dir), "stage")
+        assert out.columns == docs.columns and 0 < out.count() <= seen + 2
+        assert out.where(" OR ".join(f"{n} <> '{n}'" for n in names)).count() == 0
+        assert "Jaccard" not in name or out.groupBy("doc_id").count().where("count > 1").count() == 0
+        docs, seen = out, out.count()
