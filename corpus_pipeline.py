@@ -3,6 +3,10 @@ benchmark decontamination, packing.
 
 A stage's result has to be written before the next stage is called, as `run` does: a stage
 deletes the intermediate tables of the one before it.
+
+Defined results: an empty table gives no pieces; null texts fail the quality rules; rows that
+agree in doc_id and text are copies, and one stays; further columns of any names pass through
+all stages but the last, and n_chars is counted anew by the second.
 """
 
 from __future__ import annotations
@@ -26,14 +30,21 @@ def _workspace(spark: SparkSession, label: str) -> Workspace:
 
 
 def _rows_of(docs: DataFrame, keys: DataFrame, how: str, names: list[str]) -> DataFrame:
-    """Rows of `docs` with (or without) their doc_id and text among `keys`; both sides grow, so it is a merge join."""
-    own = docs.withColumn("_th", F.xxhash64("text"))
-    keys = keys.withColumnsRenamed({n: f"_k_{n}" for n in names})
-    met = own["_th"] == keys["_k_th"]
+    """Rows of `docs` with (or without) their doc_id and text among `keys`; both sides grow, so it is a merge join.
+
+    Rows are packed, so that their columns may have any names.
+    """
+    own = docs.select(_packed(docs), F.xxhash64("text").alias("own_th"))
+    keys = keys.withColumnsRenamed({n: f"key_{n}" for n in names})
+    met = own["own_th"] == keys["key_th"]
     for n in names:
         if n != "th":
-            met = met & own[n].eqNullSafe(keys[f"_k_{n}"])
-    return own.join(keys.hint("merge"), met, how).select(*[own[c] for c in docs.columns])
+            met = met & F.col("row")[n].eqNullSafe(keys[f"key_{n}"])
+    return own.join(keys.hint("merge"), met, how).select("row.*")
+
+
+def _packed(docs: DataFrame):
+    return F.struct(*[docs[c] for c in docs.columns]).alias("row")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,8 +66,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     work = _workspace(spark, "pipeline-near")
     found = chosen_path.similar_documents(docs, work)
     first = found.groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("k")).select("k.*").distinct()
-    kept = _rows_of(docs.withColumn("_key", F.xxhash64("text")), work.store(first, "first"), "left_semi", ["doc_id", "th"])
-    return kept.dropDuplicates(["doc_id", "_key"]).select(*docs.columns)
+    kept = _rows_of(docs, work.store(first, "first"), "left_semi", ["doc_id", "th"])
+    rows = kept.select(_packed(kept), F.col("doc_id").alias("id"), F.xxhash64("text").alias("th"))
+    return rows.dropDuplicates(["id", "th"]).select("row.*")
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
