@@ -17,7 +17,7 @@ from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
 from tarmac.functions import predicates as P
 from tarmac.functions.text import clean_line, csv_line, event_payload, field_count, fixed
 from tarmac.functions.times import departure_hour, time_text
-from tarmac.operators import correction, delays, lookups, training, windows
+from tarmac.operators import correction, delays, lookups, training, windows, zones
 from tarmac.session import measured
 from tarmac.sources import files, sample, tables
 
@@ -44,6 +44,37 @@ def raw_lines(spark, sf) -> DataFrame:
     return flights.select("op_unique_carrier", F.concat(csv_line(*parts), F.lit(",,  ")).alias("value"))
 
 
+#: Own rough outlines, one of them with a bay, two of them overlapping.
+OUTLINES = {
+    "America/Chicago": [(-104, 26), (-87, 29.5), (-85.5, 46), (-97, 42), (-103.5, 49)],
+    "America/Denver": [(-114, 31.3), (-103, 31), (-101.2, 49), (-116.1, 49), (-111, 40.5)],
+    "America/Los_Angeles": [(-124.5, 40), (-117, 32.2), (-114, 35), (-114, 42), (-117, 49), (-124.7, 48.4)],
+    "America/New_York": [(-87.5, 30), (-80, 24.5), (-67, 45), (-88.4, 48), (-84, 38.2)],
+}
+_PLACE_SQL = """SELECT c_custkey, 22 + (c_custkey * 104729 % 30011) / 1000.0::DOUBLE AS y, -126 + (c_custkey * 7919 % 60013) / 1000.0::DOUBLE AS x FROM customer"""
+
+
+@query("coordinate_timezones", f"""
+WITH place AS ({_PLACE_SQL}), ring(zone, i, x1, y1, x2, y2) AS (VALUES {", ".join(
+    f"('{zone}', {i}, {x}::DOUBLE, {y}::DOUBLE, {ring[(i + 1) % len(ring)][0]}::DOUBLE, {ring[(i + 1) % len(ring)][1]}::DOUBLE)"
+    for zone, ring in OUTLINES.items() for i, (x, y) in enumerate(ring))}
+), held AS (
+  SELECT c_custkey, zone FROM place, ring WHERE ((y1 > y) <> (y2 > y)) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1
+  GROUP BY c_custkey, zone HAVING count(*) % 2 = 1
+)
+SELECT c_custkey, CASE WHEN c_custkey % 50 = 0 THEN 'TIMEZONE' ELSE coalesce(min(zone), 'UTC') END AS tz
+FROM customer LEFT JOIN held USING (c_custkey) GROUP BY c_custkey""")
+def coordinate_timezones(spark, sf):
+    """Places spread over a map, each in the zone whose outline holds it."""
+    key = F.col("c_custkey")
+    places = sample.table(spark, sf, "customer").select(
+        "c_custkey", (22 + (key * 104729 % 30011) / 1000.0).cast("string").alias("latitude"),
+        F.when(key % 50 == 0, "unknown").otherwise((-126 + (key * 7919 % 60013) / 1000.0).cast("string")).alias("longitude"))
+    polygons = spark.createDataFrame(
+        [(zone, [(float(x), float(y)) for x, y in ring]) for zone, ring in OUTLINES.items()], "zone string, ring array<struct<x:double,y:double>>")
+    return zones.with_zone(places, measured(zones.grid(polygons), "zones")).select("c_custkey", "tz")
+
+
 def _raw_line_sql(quoted: bool) -> str:
     out = []
     for name, kind in schemas.RAW_COLUMNS:

@@ -144,6 +144,18 @@ def training_csv(spark, sf):
     )
 
 
+@query("training_epochs", with_averages("""
+SELECT e AS epoch, origin, count(*) AS n, sum(ontime) AS ontime, sum(dep_delay) AS dep_delay
+FROM training JOIN days USING (fl_date), range(3) AS r(e) WHERE is_train_day GROUP BY 1, 2"""))
+def training_epochs(spark, sf):
+    """The stored training rows three times over: every epoch holds every row once."""
+    out = scratch(spark, "epochs")
+    datasets.train_and_test(sample.event_log(spark, sf), sample.train_days(spark), out)
+    rows = files.epochs(files.read_training_rows(spark, f"{out}/train"), 3)
+    return rows.groupBy(F.col("epoch").cast("bigint").alias("epoch"), "origin").agg(
+        n_rows(), F.sum("ontime").alias("ontime"), F.sum("dep_delay").alias("dep_delay"))
+
+
 @query("corrected_and_logged", with_events("""
 SELECT event, count(*) AS n, sum(dep_delay) AS dep_delay, count(DISTINCT fl_date) AS n_days FROM events_log GROUP BY event"""))
 def corrected_and_logged(spark, sf):

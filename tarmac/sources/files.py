@@ -82,10 +82,24 @@ def read_training_rows(
     rows = spark.read.schema(schemas.TRAINING_ROW).option("nullValue", "").csv(path)
     rows = rows.fillna(0.0).fillna("na")
     if shuffle:
-        rows = rows.orderBy(F.rand(seed))
+        rows = epochs(rows, 1, seed).drop("epoch")
     return rows.limit(limit) if limit > 0 else rows
 
 
+def epochs(rows: DataFrame, count: int, seed: int = 13) -> DataFrame:
+    """Training rows `count` times over, each time in another order, with `epoch`.
+
+    Every epoch deals the rows into buckets by a hash of seed, epoch and place in the
+    input, and orders each bucket by it: one shuffle and no global sort.  Equal rows
+    differ in their place, so they spread; files read the same way give the same order.
+    """
+    keyed = rows.select(F.struct(*[rows[c] for c in rows.columns]).alias("row"), F.monotonically_increasing_id().alias("at"))
+    many = keyed.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(count - 1))))
+    many = many.withColumn("key", F.xxhash64(F.lit(seed), "epoch", "at"))
+    return many.repartition("epoch", "key").sortWithinPartitions("epoch", "key").select(
+        *[F.col("row")[c].alias(c) for c in rows.columns if c != "epoch"], "epoch")
+
+
 def create_external_table(spark: SparkSession, name: str, path: str, schema_json: str) -> DataFrame:
     """An external CSV table described by a JSON list of fields."""
     fields = schemas.from_json_fields(json.loads(schema_json))
