@@ -5,12 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tarmac.catalog.checksql import text, with_averages, with_events, with_raw
-from tarmac.catalog.flightlog import PAYLOAD_SQL
+from tarmac.catalog.flightlog import PAYLOAD_SQL, SUCCESS_SQL
 from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
 from tarmac.functions import predicates as P
 from tarmac.models import evaluate, features, logistic, network, newton, scoring
 from tarmac.operators import sampling, training
 from tarmac.operators.lookups import join_days
+from tarmac.plans import scoring as scoring_plan, studies
 from tarmac.session import measured, scratch
 from tarmac.sinks import cells, models as model_sink, tables
 from tarmac.sources import sample
@@ -333,9 +334,11 @@ def forecast_categorical_eval(spark, sf):
 
 
 @query("unscorable_flights", with_averages("""
-SELECT event, cancelled, count(*) AS n FROM featured WHERE dep_delay IS NULL GROUP BY 1, 2"""))
+SELECT event, cancelled, count(*) AS n FROM featured WHERE dep_delay IS NULL OR op_carrier_fl_num::BIGINT % 7 = 0 GROUP BY 1, 2"""))
 def unscorable_flights(spark, sf):
-    _, rest = scoring.scorable(_featured(spark, sf))
+    """Every seventh flight number reports no departure delay."""
+    known = F.when(F.col("op_carrier_fl_num").cast("bigint") % 7 != 0, F.col("dep_delay"))
+    _, rest = scoring.scorable(_featured(spark, sf).withColumn("dep_delay", known))
     return rest.groupBy("event", "cancelled").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -380,3 +383,88 @@ def hashed_features(spark, sf):
     rows = training.training_rows(sample.event_log(spark, sf).where(P.good_event()))
     hashed = features.with_hashed(rows, features.AIRPORT_BUCKETS, 5)
     return hashed.groupBy("origin", "origin_ix", "dep_loc", "arr_loc", "dep_arr").agg(F.count(F.lit(1)).alias("n"))
+
+
+# --- jobs with models -----------------------------------------------------------
+
+@query("scored_to_sinks", with_averages(f"""
+SELECT event, count(*) AS n_events, count(*) FILTER ({SUCCESS_SQL}) AS n_lines, count(*) FILTER ({SUCCESS_SQL}) AS n_table,
+  count(*) FILTER ({SUCCESS_SQL}) AS n_cells, count(*) FILTER (NOT coalesce({SUCCESS_SQL}, false)) AS n_rejected, 0::BIGINT AS n_unscored,
+  count(*) FILTER ({SUCCESS_SQL} AND event = 'arrived' AND arr_delay < 15) AS n_ontime, 0::BIGINT AS n_impossible
+FROM events_log GROUP BY event"""))
+def scored_to_sinks(spark, sf):
+    """The scoring job: every event is scored into lines, table and cells, or rejected, or unscored."""
+    out = scratch(spark, "scored")
+    events, days = measured(sample.event_log(spark, sf), "scored-log"), sample.train_days(spark)
+    averages = measured(training.departure_averages(events, days), "scored-averages")
+    train, _ = _training_parts(spark, training.with_averages(events, averages))
+    scoring_plan.score_and_store(events, averages, logistic.fit_columns(train, 64, max_iter=10), 64, out)
+    table = spark.read.parquet(f"{out}/table")
+    landed = F.when(F.col("event") == "arrived", F.col("ontime"))
+    fair = F.when(F.col("event") == "arrived", F.col("ontime").isin(0.0, 1.0)).otherwise(F.col("ontime").between(0, 1))
+    parts = {
+        "n_events": events.groupBy("event").agg(F.count(F.lit(1)).alias("n_events")),
+        "n_lines": spark.read.text(f"{out}/lines").groupBy(F.regexp_extract("value", "(departed|arrived)", 1).alias("event")).agg(F.count(F.lit(1)).alias("n_lines")),
+        "n_table": table.groupBy("event").agg(
+            F.count(F.lit(1)).alias("n_table"), F.count_if(landed == 1).alias("n_ontime"), F.count_if(~fair).alias("n_impossible")),
+        "n_cells": spark.read.parquet(f"{out}/cells").where("qualifier = 'EVENT'").groupBy(F.col("value").alias("event")).agg(F.count(F.lit(1)).alias("n_cells")),
+        "n_rejected": spark.read.parquet(f"{out}/rejected").groupBy("event").agg(F.count(F.lit(1)).alias("n_rejected")),
+        "n_unscored": spark.read.parquet(f"{out}/unscored").groupBy("event").agg(F.count(F.lit(1)).alias("n_unscored")),
+    }
+    whole = parts.pop("n_events")
+    for part in parts.values():
+        whole = whole.join(part, "event", "left")
+    return whole.fillna(0)
+
+
+@query("trained_and_saved", with_averages("""
+SELECT count(*) AS n_test, true AS same_after_loading, true AS better_than_base_rate
+FROM training JOIN days USING (fl_date) WHERE NOT is_train_day"""))
+def trained_and_saved(spark, sf):
+    """The training job on all columns: the stored model gives the reported error again."""
+    out = scratch(spark, "trained")
+    train, test = _training_parts(spark, _featured(spark, sf))
+    report = studies.train_classifier(train, test, out)
+    again = evaluate.probabilistic(logistic.predict(model_sink.load_model(out), features.with_hashed(test)))
+    base = test.agg(F.stddev_pop("ontime")).first()[0]
+    return report.select(
+        (F.col("total_cancel") + F.col("total_nocancel")).alias("n_test"),
+        (F.abs(F.col("rmse") - F.lit(again.first()["rmse"])) < 1e-12).alias("same_after_loading"), (F.col("rmse") < F.lit(base)).alias("better_than_base_rate"))
+
+
+@query("regression_experiment", with_raw("""
+SELECT part, n FROM (SELECT count(*) FILTER (is_train_day) AS clean, count(*) FILTER (NOT is_train_day) AS categorical,
+    count(*) FILTER (NOT is_train_day) AS probabilistic, count(*) FILTER (NOT is_train_day) AS scaled, 4::BIGINT AS ablation, 279::BIGINT AS sweep
+  FROM raw JOIN days USING (fl_date) WHERE cancelled = '0.00' AND diverted = '0.00' AND dep_delay IS NOT NULL AND arr_delay IS NOT NULL)
+UNPIVOT (n FOR part IN (clean, categorical, probabilistic, scaled, ablation, sweep))"""))
+def regression_experiment(spark, sf):
+    """The whole experiment; the rows that each part is about."""
+    flights = sample.flights(spark, sf, "fl_date", *BASE, "cancelled", "diverted")
+    _, found = studies.regression_experiment(flights, sample.train_days(spark), holdout_seed=None)
+    out = None
+    for part in ("clean", "categorical", "probabilistic", "scaled", "ablation", "sweep"):
+        of = F.max("n") if part == "clean" else F.sum(F.col("total_cancel") + F.col("total_nocancel")) if part in ("categorical", "probabilistic", "scaled") else F.count(F.lit(1))
+        row = found[part].agg(of.alias("n")).select(F.lit(part).alias("part"), "n")
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query("exploratory_report", with_raw("""
+SELECT name, n FROM (SELECT count(*) AS counts, 21::BIGINT AS ventiles, count(DISTINCT dep_delay) AS delay_histogram,
+    9::BIGINT AS outlier_sweep, (SELECT count(*) FROM (SELECT 1 FROM raw GROUP BY dep_delay HAVING count(arr_delay) > 370)) AS conditional_quantile,
+    (SELECT count(*) FROM (SELECT 1 FROM raw JOIN days USING (fl_date) WHERE is_train_day GROUP BY dep_delay HAVING count(arr_delay) > 370)) AS conditional_quantile_train
+  FROM raw)
+UNPIVOT (n FOR name IN (counts, ventiles, delay_histogram, outlier_sweep, conditional_quantile, conditional_quantile_train))"""))
+def exploratory_report(spark, sf):
+    """The report stored as files and read again: flights counted, and rows of its tables."""
+    out = scratch(spark, "report")
+    columns = ["fl_date", "dest", *BASE, "cancelled", "diverted"]
+    report = studies.exploration(measured(sample.flights(spark, sf, *columns), "report-flights"), sample.train_days(spark))
+    found = None
+    for name, df in report.items():
+        df.write.parquet(f"{out}/{name}")
+        back = spark.read.parquet(f"{out}/{name}")
+        if name in ("counts", "ventiles", "delay_histogram", "outlier_sweep", "conditional_quantile", "conditional_quantile_train"):
+            row = back.agg((F.max("n_rows") if name == "counts" else F.count(F.lit(1))).alias("n")).select(F.lit(name).alias("name"), "n")
+            found = row if found is None else found.unionByName(row)
+    return found
