@@ -515,18 +515,23 @@ JOIN (SELECT dest, w, avg(arr_delay) AS m FROM (
   GROUP BY dest, w) a USING (dest, w)
 GROUP BY dest, w"""))
 def features_per_window(spark, sf):
+    """Carriers and airports are few, so their sets are collected instead of expanding every copy per distinct count."""
     rows = training.features_per_window(sample.event_log(spark, sf), _averages(spark, sf))
     return rows.groupBy("dest", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.sum("dep_delay").alias("total_dep_delay"),
         F.sum("taxiout").alias("total_taxiout"), F.sum("distance").alias("total_distance"),
-        F.sum("ontime").alias("n_ontime"), F.count_distinct("carrier").alias("n_carriers"),
-        F.count_distinct("origin").alias("n_origins"), F.min("dep_lat").alias("low_dep_lat"),
+        F.sum("ontime").alias("n_ontime"), _named("carrier").alias("n_carriers"),
+        _named("origin").alias("n_origins"), F.min("dep_lat").alias("low_dep_lat"),
         F.min("dep_lon").alias("low_dep_lon"), F.max("arr_lat").alias("arr_lat"), F.max("arr_lon").alias("arr_lon"),
         F.min(F.round("avg_arr_delay", 6)).alias("low_arr_delay"),
         F.max(F.round("avg_arr_delay", 6)).alias("avg_arr_delay"),
     )
 
 
+def _named(column: str):
+    return F.size(F.collect_set(column)).cast("bigint")
+
+
 # --- training sets ------------------------------------------------------------
 
 TRAINING = ", ".join(schemas.names(schemas.TRAINING_COLUMNS))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,7 +43,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     """A fresh folder for intermediate tables, below `spark.checkpoint.dir`.
 
     The setting names storage all executors share.  Only a local session may go
-    without it; there a temporary folder does.
+    without it; there the warehouse folder does.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
@@ -52,7 +51,7 @@ def scratch(spark: SparkSession, label: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        root = tempfile.mkdtemp(prefix="tarmac-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/tarmac-work"
     return f"{root.rstrip('/')}/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex}"
 
 
