@@ -42,10 +42,11 @@ def airport_master_job(spark, sf):
 @query("header_guard", with_raw("""
 SELECT op_carrier, count(*) AS n, min(fl_date)::VARCHAR AS first, sum(distance) AS distance FROM raw GROUP BY op_carrier"""))
 def header_guard(spark, sf):
-    """One file per carrier, with the header line at its start and once more at its end."""
+    """Several files per carrier, each with the header line at its start and once more at its end."""
     path = scratch(spark, "two-headers")
     names = schemas.names(schemas.RAW_COLUMNS)
-    rows = sample.flights(spark, sf).select(F.col("op_carrier").alias("part"), F.lit(1).alias("place"), csv_line(*names).alias("value"))
+    rows = sample.flights(spark, sf).select(
+        F.concat_ws("-", "op_carrier", F.pmod(F.xxhash64("op_carrier_fl_num", "fl_date"), F.lit(16))).alias("part"), F.lit(1).alias("place"), csv_line(*names).alias("value"))
     header = F.lit(",".join(names).upper())
     heads = rows.select("part").distinct().select(
         "part", F.explode(F.array(F.lit(0), F.lit(2))).alias("place"), header.alias("value"))
