@@ -143,13 +143,13 @@ def windowed_files_stream(spark, sf):
 
 
 @query("text_and_table_stream", f"""WITH {BASE_SQL}
-SELECT event || ',' || dest AS message, count(*) AS n_lines, count(*) AS n_rows, count(DISTINCT date_trunc('minute', ts)) AS n_files FROM base GROUP BY 1""")
+SELECT event || ',' || dest AS message, count(*) AS n_lines, count(*) AS n_rows, count(DISTINCT date_trunc('hour', ts)) AS n_files FROM base GROUP BY 1""")
 def text_and_table_stream(spark, sf):
-    """The job with both outputs: stamped lines by minute, stamped rows in a table."""
+    """The job with both outputs: stamped lines by hour, stamped rows in a table."""
     path, rows = scratch(spark, "text-and-table"), _arriving(spark, sf)
     stream = rows.stream.select("ts", F.concat_ws(",", "event", "dest").alias("message"))
     for _ in rows:
-        stream_to_text_and_table(stream, f"{path}/out", f"{path}/state")
+        stream_to_text_and_table(stream, f"{path}/out", f"{path}/state", width="1 hour")
     message = F.regexp_extract("line", r"^\d{4}-\d\d-\d\d \d\d:\d\d:\d\d (.*)$", 1)
     lines = read_windows(spark, f"{path}/out/text").groupBy(message.alias("message")).agg(
         F.count(F.lit(1)).alias("n_lines"), F.count_distinct("window_start").alias("n_files"))
