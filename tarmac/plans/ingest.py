@@ -13,7 +13,7 @@ from tarmac.operators.correction import correct_times, with_timezone
 from tarmac.operators.events import flight_events, with_payload
 from tarmac.session import measured
 from tarmac.sinks.files import write_csv, write_lines
-from tarmac.sinks.tables import write_event_log
+from tarmac.sinks.tables import by_day, write_event_log
 from tarmac.sources import files
 
 
@@ -75,12 +75,13 @@ def store_airports(spark: SparkSession, master: str, out: str, zones: DataFrame
 def correct_and_log(flights: DataFrame, airports: DataFrame, corrected_out: str, log_out: str) -> None:
     """Corrected flights as CSV and the event log as a table.
 
-    The corrected flights are stored once; both outputs start from that table.
+    The corrected flights are stored once, those of a day together; both outputs start
+    from that table and need no further shuffle.  The lines are gzip files.
     """
-    corrected = measured(correct_times(flights, airports), "corrected")
+    corrected = measured(correct_times(by_day(flights), airports), "corrected")
     fields = payload_fields(schemas.CORRECTED_COLUMNS)
-    write_lines(corrected.select(csv_line(*fields).alias("value")), corrected_out)
-    write_event_log(with_payload(flight_events(corrected)), log_out)
+    write_lines(corrected.select(csv_line(*fields).alias("value")), corrected_out, packed=True)
+    write_event_log(with_payload(flight_events(corrected)), log_out, arranged=True)
 
 
 def filter_airport(lines: DataFrame, code: str, out: str) -> None:
