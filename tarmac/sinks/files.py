@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from tarmac.sinks.tables import write_folders
+
 
-def write_csv(df: DataFrame, path: str, header: bool = False) -> None:
-    """One CSV part per partition."""
 def write_csv(df: DataFrame, path: str, header: bool = False, packed: bool = False) -> None:
     """One CSV part per partition.
-    _csv(df, header).csv(path)
-
 
     `packed` writes gzip parts, which every reader here opens as it opens plain ones;
     event lines take about a sixth of the disk.  A part is then read by one task.

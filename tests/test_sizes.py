@@ -29,6 +29,30 @@ def test_folders_hold_all_rows_and_leave_the_setting(spark, tmp_path):
     assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
 
 
+def test_events_reach_their_folders_without_a_sort(spark, tmp_path):
+    """One task, types in turn: sorted by type, a folder's rows would not change, but the setting must be in force."""
+    seen = []
+    rows = spark.range(0, 10, 1, 1).select("id", F.when(F.col("id") % 2 == 0, "departed").otherwise("arrived").alias("event"))
+
+    class Conf:
+        def __getattr__(self, name):
+            return getattr(spark.conf, name)
+
+        def set(self, key, value):
+            seen.append((key, str(value)))
+            spark.conf.set(key, value)
+
+    class Session:
+        conf = Conf()
+
+    class Rows:
+        sparkSession, write = Session(), rows.write
+
+    file_sink.write_by_event(Rows(), f"{tmp_path}/by-event")
+    assert ("spark.sql.maxConcurrentOutputFileWriters", "8") in seen
+    assert spark.read.parquet(f"{tmp_path}/by-event").groupBy("event").count().where("count = 5").count() == 2
+
+
 def test_lines_packed_on_request(spark, tmp_path):
     rows = spark.range(5).select(F.col("id").cast("string").alias("value"))
     file_sink.write_csv(rows, f"{tmp_path}/csv", packed=True)
