@@ -75,7 +75,7 @@ def external_csv_average(spark, sf):
     """Event log as CSV behind a table declared by a JSON field list."""
     path = scratch(spark, "external-csv")
     log = with_payload(sample.event_log(spark, sf)).drop("event_data")
-    file_sink.write_csv(log, path)
+    file_sink.write_csv(log, path, packed=True)
     kinds = dict(schemas.EVENT_LOG_COLUMNS)
     fields = [{"mode": "NULLABLE", "name": c.upper(), "type": WAREHOUSE_NAMES[kinds[c]]} for c in log.columns]
     external = files.create_external_table(spark, "external_flights", path, json.dumps(fields))
