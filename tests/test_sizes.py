@@ -4,8 +4,9 @@ import glob
 
 from pyspark.sql import functions as F
 
+from tarmac.operators.windows import with_arrival_average
 from tarmac.plans import ingest
-from tarmac.sinks import files as file_sink, tables
+from tarmac.sinks import cells, files as file_sink, tables
 from tarmac.sources import sample
 
 
@@ -58,3 +59,22 @@ def test_lines_packed_on_request(spark, tmp_path):
     file_sink.write_csv(rows, f"{tmp_path}/csv", packed=True)
     assert all(p.endswith(".csv.gz") for p in glob.glob(f"{tmp_path}/csv/part-*"))
     assert spark.read.csv(f"{tmp_path}/csv").count() == 5
+
+
+def test_cells_of_predictions_are_in_key_order(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(cells, "SORTED_AT_ONCE", 3000)
+    made = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5))
+    cells.write_cells(made, f"{tmp_path}/cells")
+    back = spark.read.parquet(f"{tmp_path}/cells")
+    assert back.exceptAll(cells.prediction_cells(made)).isEmpty() and cells.prediction_cells(made).exceptAll(back).isEmpty()
+    parts = glob.glob(f"{tmp_path}/cells/part-*")
+    assert len(parts) > 2
+    for p in parts[:3]:
+        keys = [tuple(r) for r in spark.read.parquet(p).select("row_key", "qualifier").collect()]
+        assert keys == sorted(keys)
+
+
+def test_events_are_not_shuffled_for_their_averages(spark, sf_dir):
+    joined = with_arrival_average(sample.event_log(spark, sf_dir).select("dest", "event", "notify_time", "arr_delay"))
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate" not in plan and "Window" not in plan
