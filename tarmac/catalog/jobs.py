@@ -10,7 +10,9 @@ from tarmac import schemas
 from tarmac.catalog.checksql import AIRPORTS, DEP_HOUR, EVENTS, with_averages, with_events, with_raw
 from tarmac.catalog.flightlog import PAYLOAD_SQL
 from tarmac.catalog.registry import checksum, checksum_sql, query, rounded
-from tarmac.functions.text import csv_line, event_payload
+from tarmac.functions.text import csv_line
+from tarmac.operators import training
+from tarmac.operators.events import event_lines
 from tarmac.plans import datasets, ingest
 from tarmac.session import measured, scratch
 from tarmac.sinks import tables as table_sink
@@ -18,7 +20,7 @@ from tarmac.sources import files, sample
 
 
 def _lines(spark, sf):
-    return measured(sample.event_log(spark, sf).select(event_payload().alias("value")), "event-lines")
+    return measured(event_lines(sample.corrected(spark, sf)), "event-lines")
 
 
 def n_rows():
@@ -118,7 +120,7 @@ UNION ALL SELECT 'delays', origin || ':' || dep_hour, 1, avg_dep_delay FROM hour
 def one_day_job(spark, sf):
     """Training rows and hourly averages of one day of the stored log."""
     out = scratch(spark, "one-day")
-    datasets.day_to_training(measured(sample.event_log(spark, sf), "log"), "2018-02-05", out)
+    datasets.day_to_training(sample.stored_events(spark, sf, *training.EVENT_COLUMNS), "2018-02-05", out)
     train = files.read_training_rows(spark, f"{out}/train").groupBy(F.lit("train").alias("part"), F.col("origin").alias("key")).agg(
         n_rows(), F.sum("dep_delay").alias("total"))
     delays = files.read_delay_lookup(spark, f"{out}/delays").select(

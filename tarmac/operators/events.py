@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from tarmac import schemas
-from tarmac.functions.text import event_payload
+from tarmac.functions.text import event_payload, payload_fields
 
 
 def flight_events(corrected: DataFrame) -> DataFrame:
@@ -32,6 +32,25 @@ def flight_events(corrected: DataFrame) -> DataFrame:
     )
 
 
+def event_lines(corrected: DataFrame, *keep: str) -> DataFrame:
+    """The payload lines of `flight_events`, as `value`, after the columns of `keep`.
+
+    Each field is turned into text once a flight; both events take their line from it.
+    """
+    names = schemas.names(schemas.CORRECTED_COLUMNS)
+    fields = dict(zip(names, payload_fields(schemas.CORRECTED_COLUMNS)))
+    texts = corrected.select(*[F.coalesce(t, F.lit("")).alias(f"{n}_text") for n, t in fields.items()], *keep)
+
+    def line(event: str, time: str, unknown: list[str]) -> Column:
+        known = [F.lit("") if n in unknown else F.col(f"{n}_text") for n in names]
+        return F.when(F.col(f"{time}_text") != "", F.concat_ws(",", *known, F.lit(event), F.col(f"{time}_text")))
+
+    happened = F.array_compact(F.array(
+        line("departed", "dep_time", schemas.UNKNOWN_AT_DEPARTURE), line("arrived", "arr_time", []),
+    ))
+    return texts.select(*keep, F.explode(happened).alias("value"))
+
+
 def with_payload(events: DataFrame) -> DataFrame:
     """The stored event log: integer sequence ids and the line of all fields."""
     ids = {

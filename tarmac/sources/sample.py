@@ -14,6 +14,7 @@ from tarmac import schemas
 from tarmac.functions.predicates import has_coordinates
 from tarmac.operators.correction import correct_times, with_timezone
 from tarmac.operators.events import flight_events
+from tarmac.session import measured
 
 # Fixed values shared with the checking SQL.
 FIRST_DAY = "2018-02-01"
@@ -160,3 +161,8 @@ def corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def event_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flight_events(corrected(spark, sf_dir))
+
+
+def stored_events(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    """The event log with the named columns, stored: for jobs that read it several times."""
+    return measured(event_log(spark, sf_dir).select(*columns), "events")

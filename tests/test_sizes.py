@@ -4,6 +4,8 @@ import glob
 
 from pyspark.sql import functions as F
 
+from tarmac.functions.text import event_payload
+from tarmac.operators.events import event_lines
 from tarmac.operators.windows import with_arrival_average
 from tarmac.plans import ingest
 from tarmac.sinks import cells, files as file_sink, tables
@@ -78,3 +80,15 @@ def test_events_are_not_shuffled_for_their_averages(spark, sf_dir):
     joined = with_arrival_average(sample.event_log(spark, sf_dir).select("dest", "event", "notify_time", "arr_delay"))
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
     assert "Aggregate" not in plan and "Window" not in plan
+
+
+def test_event_lines_equal_payloads(spark, sf_dir):
+    want = sample.event_log(spark, sf_dir).select(event_payload().alias("value"))
+    got = event_lines(sample.corrected(spark, sf_dir))
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
+def test_stored_events_are_read_from_a_table(spark, sf_dir):
+    got = sample.stored_events(spark, sf_dir, "origin", "event")
+    assert got.columns == ["origin", "event"] and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
+    assert got.count() == sample.event_log(spark, sf_dir).count()
