@@ -150,7 +150,7 @@ FROM training JOIN days USING (fl_date), range(3) AS r(e) WHERE is_train_day GRO
 def training_epochs(spark, sf):
     """The stored training rows three times over: every epoch holds every row once."""
     out = scratch(spark, "epochs")
-    datasets.train_and_test(sample.event_log(spark, sf), sample.train_days(spark), out)
+    datasets.train_and_test(sample.stored_events(spark, sf, *training.EVENT_COLUMNS), sample.train_days(spark), out)
     rows = files.epochs(files.read_training_rows(spark, f"{out}/train"), 3)
     return rows.groupBy(F.col("epoch").cast("bigint").alias("epoch"), "origin").agg(
         n_rows(), F.sum("ontime").alias("ontime"), F.sum("dep_delay").alias("dep_delay"))
