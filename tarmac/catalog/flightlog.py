@@ -519,7 +519,8 @@ JOIN (SELECT dest, w, avg(arr_delay) AS m FROM (
 GROUP BY dest, w"""))
 def features_per_window(spark, sf):
     """Carriers and airports are few, so their sets are collected instead of expanding every copy per distinct count."""
-    rows = training.features_per_window(sample.event_log(spark, sf), _averages(spark, sf))
+    events = sample.stored_events(spark, sf, *training.EVENT_COLUMNS)
+    rows = training.features_per_window(events, training.departure_averages(events, sample.train_days(spark)))
     return rows.groupBy("dest", "window_start").agg(
         F.count(F.lit(1)).alias("n"), F.sum("dep_delay").alias("total_dep_delay"),
         F.sum("taxiout").alias("total_taxiout"), F.sum("distance").alias("total_distance"),
