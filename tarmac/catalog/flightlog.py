@@ -128,18 +128,25 @@ def next_month(spark, sf):
     return files.next_month(paths)
 
 
+#: Lines after which a partition goes on in another archive.
+ARCHIVE_LINES = 500_000
+
+
+    """Each partition of lines packed as archives of its own, each after `header`: test input for the reader."""
 def zip_partitions(lines: DataFrame, header: str | None = None) -> DataFrame:
-    """Each partition of lines packed as an archive of its own, after `header`: test input for the reader."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        buffer = io.BytesIO()
-        with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
-            with archive.open("flights.csv", "w") as member:
-                if header:
-                    member.write((header + "\n").encode())
-                for batch in batches:
-                    member.write("".join(v + "\n" for v in batch["value"]).encode())
-        yield pd.DataFrame({"path": ["flights.zip"], "content": [buffer.getvalue()]})
+        first = next(batches, None)
+        while first is not None:
+            buffer, n = io.BytesIO(), 0
+            with zipfile.ZipFile(buffer, "w", zipfile.ZIP_DEFLATED) as archive:
+                with archive.open("flights.csv", "w") as member:
+                    if header:
+                        member.write((header + "\n").encode())
+                    while first is not None and n < ARCHIVE_LINES:
+                        member.write("".join(v + "\n" for v in first["value"]).encode())
+                        n, first = n + len(first), next(batches, None)
+            yield pd.DataFrame({"path": ["flights.zip"], "content": [buffer.getvalue()]})
 
     return lines.select("value").mapInPandas(pack, "path string, content binary")
 

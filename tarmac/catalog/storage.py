@@ -190,10 +190,13 @@ def monthly_ingest(spark, sf):
     from tarmac.catalog.flightlog import raw_lines, zip_partitions
 
     path = scratch(spark, "monthly")
-    lines = raw_lines(spark, sf).withColumn("day", F.to_date(F.split("value", ",")[0]))
-    months = [r[0] for r in lines.select(F.date_format("day", "yyyyMM")).distinct().collect()]
+    day = F.to_date(F.substring_index("value", ",", 1))
+    # Made once and stored by month: a month's archives are packed from its folder alone.
+    table_sink.write_folders(raw_lines(spark, sf).withColumn("month", F.date_format(day, "yyyyMM")), f"{path}/lines", "month")
+    lines = spark.read.schema("op_unique_carrier string, value string, month string").parquet(f"{path}/lines")
+    months = [r[0] for r in lines.select("month").distinct().collect()]
     for month in months:
-        packed = zip_partitions(lines.where(F.date_format("day", "yyyyMM") == month), schemas.RAW_HEADER)
+        packed = zip_partitions(lines.where(F.col("month") == month).drop("month"), schemas.RAW_HEADER)
         # Bytes as they are, one archive a file.
         packed.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/delivered/{month}")
     ingest.ingest_months(spark, f"{path}/delivered", f"{path}/raw", min(months), max(months))
