@@ -18,6 +18,7 @@ from tarmac.functions import predicates as P
 from tarmac.functions.text import clean_line, csv_line, event_payload, field_count, fixed
 from tarmac.functions.times import departure_hour, time_text
 from tarmac.operators import correction, delays, lookups, training, windows, zones
+from tarmac.operators.events import event_lines
 from tarmac.session import measured
 from tarmac.sources import files, sample, tables
 
@@ -132,8 +133,8 @@ def next_month(spark, sf):
 ARCHIVE_LINES = 500_000
 
 
-    """Each partition of lines packed as archives of its own, each after `header`: test input for the reader."""
 def zip_partitions(lines: DataFrame, header: str | None = None) -> DataFrame:
+    """Each partition of lines packed as archives of its own, each after `header`: test input for the reader."""
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = next(batches, None)
@@ -176,8 +177,8 @@ def payload_lines(spark, sf) -> DataFrame:
     cut = F.when(
         F.col("op_unique_carrier") == "UA", F.concat(F.substring_index("line", ",", 30), F.lit(","))
     ).otherwise(F.col("line"))
-    lines = sample.event_log(spark, sf).withColumn("line", event_payload()).select(cut.alias("value"))
-    return measured(lines, "payload-lines")
+    lines = event_lines(sample.corrected(spark, sf), "op_unique_carrier")
+    return measured(lines.withColumnRenamed("value", "line").select(cut.alias("value")), "payload-lines")
 
 
 @query("arity_check", with_events("""
