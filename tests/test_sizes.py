@@ -92,3 +92,9 @@ def test_stored_events_are_read_from_a_table(spark, sf_dir):
     got = sample.stored_events(spark, sf_dir, "origin", "event")
     assert got.columns == ["origin", "event"] and "Join" not in got._jdf.queryExecution().optimizedPlan().toString()
     assert got.count() == sample.event_log(spark, sf_dir).count()
+
+
+def test_texts_of_cells_are_made_once(spark, sf_dir):
+    made = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5))
+    plan = cells.prediction_cells(made)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" in plan and "size(array(" not in plan
