@@ -98,3 +98,29 @@ def test_texts_of_cells_are_made_once(spark, sf_dir):
     made = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5))
     plan = cells.prediction_cells(made)._jdf.queryExecution().optimizedPlan().toString()
     assert "Expand" in plan and "size(array(" not in plan
+
+
+def test_cells_of_arranged_predictions_keep_their_ranges(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(cells, "SORTED_AT_ONCE", 1500)
+    before = spark.conf.get("spark.sql.files.openCostInBytes")
+    made = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5))
+    cells.by_key(made, made.count()).write.parquet(f"{tmp_path}/decided")
+    stored = spark.read.schema(made.schema).parquet(f"{tmp_path}/decided")
+    cells.write_cells(stored, f"{tmp_path}/cells", arranged=True)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == before
+    back = spark.read.parquet(f"{tmp_path}/cells")
+    assert back.exceptAll(cells.prediction_cells(made)).isEmpty() and cells.prediction_cells(made).exceptAll(back).isEmpty()
+    parts = glob.glob(f"{tmp_path}/cells/part-*.zstd.parquet")
+    assert len(parts) == len(glob.glob(f"{tmp_path}/decided/part-*")) > 4
+    keys = [[tuple(r) for r in spark.read.parquet(p).select("row_key", "qualifier").collect()] for p in parts]
+    assert all(k == sorted(k) for k in keys)
+    ranges = sorted((k[0][0], k[-1][0]) for k in keys)
+    assert all(a[1] <= b[0] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_cells_of_no_predictions(spark, sf_dir, tmp_path):
+    none = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5)).where("event = 'neither'")
+    cells.by_key(none, 0).write.parquet(f"{tmp_path}/decided")
+    stored = spark.read.schema(none.schema).parquet(f"{tmp_path}/decided")
+    cells.write_cells(stored, f"{tmp_path}/cells", arranged=True)
+    assert spark.read.parquet(f"{tmp_path}/cells").isEmpty()
