@@ -197,3 +197,10 @@ def test_a_search_evaluates_every_setting(spark):
     want = evaluate.probabilistic(network.predict(single, rows)).first()
     got = next(r for r in found if r["layout"] == "8-4")
     assert abs(got["rmse"] - want["rmse"]) < 1e-6 and got["accuracy"] == want["accuracy"]
+
+
+def test_the_grid_is_searched_whole(spark, sf_dir, monkeypatch):
+    asked = []
+    monkeypatch.setattr(network, "search", lambda train, test, settings: asked.extend(settings) or train)
+    catalog.tuning_grid(spark, sf_dir)
+    assert asked == network.trial_settings()
