@@ -14,7 +14,7 @@ from tarmac.functions.times import time_text
 from tarmac.operators import delays, explore, training
 from tarmac.operators.events import with_payload
 from tarmac.plans import datasets, ingest, studies
-from tarmac.session import scratch
+from tarmac.session import scratch, tidy
 from tarmac.sinks import files as file_sink, tables as table_sink
 from tarmac.sources import files, sample, tables
 
@@ -40,10 +40,11 @@ SELECT dest, count(*) AS n, {text('max(arr_time)')} AS latest, sum(arr_delay) AS
   sum(dep_airport_tzoffset) AS offsets, 0::BIGINT AS n_events
 FROM corrected GROUP BY dest"""))
 def corrected_csv_roundtrip(spark, sf):
-    """Headerless files of 33 columns read under the 35-column schema."""
+    """Headerless gzip files of 33 columns read under the 35-column schema."""
     path = scratch(spark, "corrected-csv")
     fields = payload_fields(schemas.CORRECTED_COLUMNS)
-    file_sink.write_lines(sample.corrected(spark, sf).select(csv_line(*fields).alias("value")), path)
+    file_sink.write_lines(sample.corrected(spark, sf).select(csv_line(*fields).alias("value")), path, packed=True)
+    tidy(spark)
     return files.read_corrected_flights(spark, path).groupBy("dest").agg(
         n_rows(), time_text(F.max("arr_time")).alias("latest"), F.sum("arr_delay").alias("arr_delay"),
         F.sum("dep_airport_tzoffset").alias("offsets"), F.count("event").alias("n_events"),

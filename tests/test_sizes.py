@@ -4,6 +4,7 @@ import glob
 
 from pyspark.sql import functions as F
 
+from tarmac.catalog import QUERIES, storage
 from tarmac.functions.text import event_payload
 from tarmac.operators.events import event_lines
 from tarmac.operators.windows import with_arrival_average
@@ -124,3 +125,11 @@ def test_cells_of_no_predictions(spark, sf_dir, tmp_path):
     stored = spark.read.schema(none.schema).parquet(f"{tmp_path}/decided")
     cells.write_cells(stored, f"{tmp_path}/cells", arranged=True)
     assert spark.read.parquet(f"{tmp_path}/cells").isEmpty()
+
+
+def test_corrected_lines_of_the_round_trip_are_packed(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch", lambda spark, label: f"{tmp_path}/{label}")
+    found = QUERIES["corrected_csv_roundtrip"](spark, sf_dir)
+    parts = glob.glob(f"{tmp_path}/corrected-csv/part-*")
+    assert parts and all(p.endswith(".txt.gz") for p in parts)
+    assert found.agg(F.sum("n")).first()[0] == sample.flights(spark, sf_dir, "fl_date").count()
