@@ -14,7 +14,7 @@ from tarmac.functions.times import time_text
 from tarmac.operators import delays, explore, training
 from tarmac.operators.events import with_payload
 from tarmac.plans import datasets, ingest, studies
-from tarmac.session import scratch, tidy
+from tarmac.session import delete, scratch, tidy
 from tarmac.sinks import files as file_sink, tables as table_sink
 from tarmac.sources import files, sample, tables
 
@@ -200,6 +200,8 @@ def monthly_ingest(spark, sf):
         packed = zip_partitions(lines.where(F.col("month") == month).drop("month"), schemas.RAW_HEADER)
         # Bytes as they are, one archive a file.
         packed.select(F.col("content").cast("string")).write.option("maxRecordsPerFile", 1).text(f"{path}/delivered/{month}")
+    delete(spark, f"{path}/lines")
+    tidy(spark)
     ingest.ingest_months(spark, f"{path}/delivered", f"{path}/raw", min(months), max(months))
     stored = F.regexp_extract(F.col("_metadata.file_path"), r"/raw/(\d{6})\.csv/", 1).alias("month")
     return ingest.read_ingested(spark, f"{path}/raw").groupBy(stored, "op_unique_carrier").agg(

@@ -11,7 +11,7 @@ from tarmac.functions.text import csv_line, payload_fields
 from tarmac import schemas
 from tarmac.operators.correction import correct_times, with_timezone
 from tarmac.operators.events import flight_events, with_payload
-from tarmac.session import measured
+from tarmac.session import forget, measured
 from tarmac.sinks.files import write_csv, write_lines
 from tarmac.sinks.tables import by_day, write_event_log
 from tarmac.sources import files
@@ -22,13 +22,17 @@ def ingest_month(spark: SparkSession, archive: str, raw_dir: str, month: str) ->
 
     Raises `UnexpectedFormat` or `DataUnavailable` before anything is written.  The month
     is written beside the others under a name that readers skip, and then renamed: readers
-    see it whole or not at all.  A month that is there already is replaced.
+    see it whole or not at all.  A month that is there already is replaced.  Its files are
+    gzip; the lines stored for the checks go when the month is published, or not accepted.
     """
     lines = files.clean_lines(files.archive_lines(files.read_archives(spark, archive)))
-    stored = measured(lines, "ingest")
-    files.verify_files(stored)
+    stored = measured(lines, "ingest", packed=True)
     staged, target = f"{raw_dir}/_staged-{uuid.uuid4().hex}", f"{raw_dir}/{month}.csv"
-    stored.where(F.col("line_no") > 0).select("value").write.option("lineSep", "\n").text(staged)
+    try:
+        files.verify_files(stored)
+        write_lines(stored.where(F.col("line_no") > 0), staged, packed=True)
+    finally:
+        forget(stored)
     publish(spark, staged, target)
     return target
 

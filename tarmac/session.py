@@ -95,7 +95,10 @@ def tidy(spark: SparkSession) -> None:
 
 def forget(stored: DataFrame) -> None:
     """Delete a stored table that has been read for the last time."""
-    spark = stored.sparkSession
     for folder in {f.rpartition("/")[0] for f in stored.inputFiles()}:
-        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(stored.sparkSession, folder)
+
+
+def delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

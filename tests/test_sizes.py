@@ -1,9 +1,11 @@
 """What jobs write and shuffle: packed text, cells made after the shuffle, folders without a sort."""
 
 import glob
+import uuid
 
 from pyspark.sql import functions as F
 
+from tarmac import session
 from tarmac.catalog import QUERIES, storage
 from tarmac.functions.text import event_payload
 from tarmac.operators.events import event_lines
@@ -133,3 +135,13 @@ def test_corrected_lines_of_the_round_trip_are_packed(spark, sf_dir, tmp_path, m
     parts = glob.glob(f"{tmp_path}/corrected-csv/part-*")
     assert parts and all(p.endswith(".txt.gz") for p in parts)
     assert found.agg(F.sum("n")).first()[0] == sample.flights(spark, sf_dir, "fl_date").count()
+
+
+def test_months_are_published_as_gzip_and_leave_no_lines(spark, sf_dir, tmp_path, monkeypatch):
+    monkeypatch.setattr(storage, "scratch", lambda spark, label: f"{tmp_path}/{label}")
+    monkeypatch.setattr(session, "scratch", lambda spark, label: f"{tmp_path}/stored/{label}-{uuid.uuid4().hex}")
+    found = QUERIES["monthly_ingest"](spark, sf_dir)
+    assert found.agg(F.sum("n")).first()[0] == sample.flights(spark, sf_dir, "fl_date").count()
+    parts = glob.glob(f"{tmp_path}/monthly/raw/*.csv/part-*")
+    assert parts and all(p.endswith(".txt.gz") for p in parts)
+    assert not glob.glob(f"{tmp_path}/stored/ingest-*") and not glob.glob(f"{tmp_path}/monthly/lines")
