@@ -11,7 +11,7 @@ from tarmac.functions.text import csv_line, payload_fields
 from tarmac import schemas
 from tarmac.operators.correction import correct_times, with_timezone
 from tarmac.operators.events import flight_events, with_payload
-from tarmac.session import forget, measured
+from tarmac.session import forget, measured, tidy
 from tarmac.sinks.files import write_csv, write_lines
 from tarmac.sinks.tables import by_day, write_event_log
 from tarmac.sources import files
@@ -80,12 +80,15 @@ def correct_and_log(flights: DataFrame, airports: DataFrame, corrected_out: str,
     """Corrected flights as CSV and the event log as a table.
 
     The corrected flights are stored once, those of a day together; both outputs start
-    from that table and need no further shuffle.  The lines are gzip files.
+    from that table and need no further shuffle.  The lines are gzip files.  The shuffles
+    are let go before the outputs are written, and the stored flights after.
     """
-    corrected = measured(correct_times(by_day(flights), airports), "corrected")
+    corrected = measured(correct_times(by_day(flights), airports), "corrected", packed=True)
+    tidy(flights.sparkSession)
     fields = payload_fields(schemas.CORRECTED_COLUMNS)
-    write_lines(corrected.select(csv_line(*fields).alias("value")), corrected_out, packed=True)
+    write_lines(corrected.select(csv_line(*fields).alias("value")), corrected_out, packed=True, level="DEFAULT_COMPRESSION")
     write_event_log(with_payload(flight_events(corrected)), log_out, arranged=True)
+    forget(corrected)
 
 
 def filter_airport(lines: DataFrame, code: str, out: str) -> None:

@@ -145,3 +145,14 @@ def test_months_are_published_as_gzip_and_leave_no_lines(spark, sf_dir, tmp_path
     parts = glob.glob(f"{tmp_path}/monthly/raw/*.csv/part-*")
     assert parts and all(p.endswith(".txt.gz") for p in parts)
     assert not glob.glob(f"{tmp_path}/stored/ingest-*") and not glob.glob(f"{tmp_path}/monthly/lines")
+
+
+def test_corrected_flights_are_stored_packed_and_go_after_the_outputs(spark, sf_dir, tmp_path, monkeypatch):
+    seen = []
+    monkeypatch.setattr(session, "scratch", lambda spark, label: f"{tmp_path}/stored/{label}-{uuid.uuid4().hex}")
+    forget = ingest.forget
+    monkeypatch.setattr(ingest, "forget", lambda stored: (seen.extend(stored.inputFiles()), forget(stored)))
+    ingest.correct_and_log(
+        sample.flights(spark, sf_dir), sample.zoned_airports(spark, sf_dir), f"{tmp_path}/corrected", f"{tmp_path}/log")
+    assert seen and all(f.endswith(".zstd.parquet") for f in seen)
+    assert not glob.glob(f"{tmp_path}/stored/corrected-*")
