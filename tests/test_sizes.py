@@ -156,3 +156,9 @@ def test_corrected_flights_are_stored_packed_and_go_after_the_outputs(spark, sf_
         sample.flights(spark, sf_dir), sample.zoned_airports(spark, sf_dir), f"{tmp_path}/corrected", f"{tmp_path}/log")
     assert seen and all(f.endswith(".zstd.parquet") for f in seen)
     assert not glob.glob(f"{tmp_path}/stored/corrected-*")
+
+
+def test_cells_of_a_prediction_come_in_order(spark, sf_dir):
+    made = sample.event_log(spark, sf_dir).withColumn("ontime", F.lit(0.5)).limit(1)
+    names = [r["qualifier"] for r in cells.prediction_cells(made).collect()]
+    assert len(names) > 20 and names == sorted(names)
